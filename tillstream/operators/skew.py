@@ -1,0 +1,33 @@
+"""Keys that hold very many rows.
+
+A window over a key puts all its rows in one task. ``heavy_keys`` finds the keys for which that is too much, and
+``split_heavy`` separates their rows, so that a caller can use the window for the rest and aggregate-and-join for them.
+"""
+
+from __future__ import annotations
+
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key with more rows than this is not given to one task.
+GROUP_ROWS = 1_000_000
+
+
+class Split(NamedTuple):
+    light: DataFrame
+    heavy: DataFrame
+
+
+def heavy_keys(df: DataFrame, key: str, limit: int = GROUP_ROWS) -> DataFrame:
+    """Keys with more than ``limit`` rows: at most ``rows / limit`` of them, so the result can be broadcast.
+
+    One column is read, and counts are summed in each task before the shuffle.
+    """
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(key)
+
+
+def split_heavy(df: DataFrame, key: str, heavy: DataFrame) -> Split:
+    small = F.broadcast(heavy)
+    return Split(df.join(small, key, "left_anti"), df.join(small, key, "left_semi"))
