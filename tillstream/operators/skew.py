@@ -16,18 +16,25 @@ GROUP_ROWS = 1_000_000
 
 
 class Split(NamedTuple):
+    """``heavy`` is None when no key is heavy."""
+
     light: DataFrame
-    heavy: DataFrame
+    heavy: DataFrame | None
 
 
-def heavy_keys(df: DataFrame, key: str, limit: int = GROUP_ROWS) -> DataFrame:
-    """Keys with more than ``limit`` rows: at most ``rows / limit`` of them, so the result can be broadcast.
+def heavy_keys(df: DataFrame, key: str, limit: int = GROUP_ROWS) -> DataFrame | None:
+    """Keys with more than ``limit`` rows, or None if there are none. Runs a job.
 
-    One column is read, and counts are summed in each task before the shuffle.
+    That job reads one column and sums counts in each task before the shuffle. Fewer than ``rows / limit`` keys can be heavy,
+    so their list is short enough for the driver and for a broadcast. Being a list, it stays the same when a task is repeated.
     """
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(key)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > limit) & F.col(key).isNotNull())
+    found = counts.select(key).collect()
+    return df.sparkSession.createDataFrame(found, counts.select(key).schema) if found else None
 
 
-def split_heavy(df: DataFrame, key: str, heavy: DataFrame) -> Split:
+def split_heavy(df: DataFrame, key: str, heavy: DataFrame | None) -> Split:
+    if heavy is None:
+        return Split(df, None)
     small = F.broadcast(heavy)
     return Split(df.join(small, key, "left_anti"), df.join(small, key, "left_semi"))

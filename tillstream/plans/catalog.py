@@ -188,7 +188,7 @@ def order_running_sums(spark, sf_dir):
 
 @query
 def paid_allocation(spark, sf_dir):
-    return flows.allocated_union(spark, sf_dir).select(
+    return flows.allocated_all(spark, sf_dir).select(
         "order_id", "order_detail_id", "sku_id", "amount_c", from_cents(F.col("final_detail_c")).alias("final_detail_amount")
     )
 
@@ -198,17 +198,17 @@ def paid_allocation(spark, sf_dir):
 
 @query
 def trademark_sales(spark, sf_dir):
-    return sales.trademark_sales(flows.trademark_sales_input(spark, sf_dir))
+    return flows.trademark_totals(spark, sf_dir)
 
 
 @query
 def sales_day_total(spark, sf_dir):
-    return sales.day_total(flows.allocated_union(spark, sf_dir), SALES_DAY)
+    return sales.day_total(flows.allocated_all(spark, sf_dir), SALES_DAY)
 
 
 @query
 def sales_by_hour(spark, sf_dir):
-    return sales.sales_by_hour(flows.allocated_union(spark, sf_dir), SALES_DAY)
+    return sales.sales_by_hour(flows.allocated_all(spark, sf_dir), SALES_DAY)
 
 
 @query

@@ -3,6 +3,19 @@
 from __future__ import annotations
 
 from tillstream.plans.catalog import DAU_DAY, DOC_ID, SALES_DAY, SEARCH_ACTOR
+from tillstream.sources.shop import HASH_MULTIPLIERS, HASH_PRIME
+
+_LINE_CONTENT = ["l_orderkey", "cast(l_linenumber as bigint)", "l_partkey", "l_suppkey"]
+_LINE_CONTENT += [f"cast(round({c} * 100) as bigint)" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+_LINE_CONTENT += ["cast(cast(l_shipdate as date) - date '1970-01-01' as bigint)"]
+
+
+def _line_hash(multiplier: int) -> str:
+    h = "cast(7 as bigint)"
+    for value in _LINE_CONTENT:
+        h = f"(({h} * {multiplier} + {value} % {HASH_PRIME}) % {HASH_PRIME})"
+    return h
+
 
 # Common table expressions for the views of sources/shop.py and the flow. A query names the last one it needs.
 VIEWS: dict[str, str] = {
@@ -21,11 +34,8 @@ VIEWS: dict[str, str] = {
                cast(cast('0x' || left(md5(p_type), 15) as bigint) as varchar) as category3_id,
                cast(null as varchar) as create_time, p_type as category3_name, p_name as spu_name, p_brand as tm_name
         from part where p_partkey % 23 <> 0""",
-    "line": """
-        select cast('0x' || left(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                   cast(round(l_quantity) as bigint), cast(round(l_extendedprice * 100) as bigint),
-                   cast(round(l_discount * 100) as bigint), cast(round(l_tax * 100) as bigint),
-                   cast(l_shipdate as date))), 15) as bigint) as id,
+    "line": f"""
+        select {_line_hash(HASH_MULTIPLIERS[0])} * {HASH_PRIME} + {_line_hash(HASH_MULTIPLIERS[1])} as id,
                l_orderkey as order_id, l_partkey as sku_id, cast(round(l_quantity) as bigint) as sku_num,
                cast(round(l_extendedprice * 100 / l_quantity) as bigint) as order_price_c
         from lineitem""",

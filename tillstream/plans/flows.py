@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.operators import dau, lookups, orders, wide
+from tillstream.operators import dau, lookups, orders, sales, wide
 from tillstream.operators.skew import Split
 from tillstream.sources import shop
 from tillstream.sources.records import json_field, parse_app_log
@@ -30,22 +30,24 @@ def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def allocated(spark: SparkSession, sf_dir: str) -> Split:
-    """Pairs of plain orders and lines with the allocated amount."""
+    """Pairs of plain orders and lines with the allocated amount, ordinary and heavy orders apart."""
     return wide.allocated_split(orders.with_date_parts(shop.orders(spark, sf_dir)), shop.order_lines(spark, sf_dir))
 
 
-def allocated_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    light, heavy = allocated(spark, sf_dir)
-    return light.unionByName(heavy)
+def allocated_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wide.allocated_pairs(orders.with_date_parts(shop.orders(spark, sf_dir)), shop.order_lines(spark, sf_dir))
 
 
-def trademark_sales_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wide.allocated_pairs(orders.with_date_parts(shop.orders(spark, sf_dir)), enriched_lines(spark, sf_dir))
+def trademark_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Allocated amount per brand. Amounts are summed per product first, so the product lookup sees one row per product."""
+    per_sku = allocated_all(spark, sf_dir).groupBy("sku_id").agg(F.sum("final_detail_c").alias("final_detail_c"))
+    return sales.trademark_sales(lookups.with_sku(per_sku, sku_dimension(spark, sf_dir)))
 
 
 def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide records of all orders and lines."""
-    return wide.wide_records(wide.allocated_pairs(enriched_orders(spark, sf_dir), enriched_lines(spark, sf_dir)))
+    """Wide records of all orders and lines. Product names join last, so that they take no part in the shuffle by order."""
+    pairs = wide.allocated_pairs(enriched_orders(spark, sf_dir), shop.order_lines(spark, sf_dir))
+    return wide.wide_records(lookups.with_sku(pairs, sku_dimension(spark, sf_dir)))
 
 
 def start_logs(spark: SparkSession, sf_dir: str) -> DataFrame:

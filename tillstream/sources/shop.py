@@ -9,10 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Its schema is read from a file footer once, not by a job for every use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def content_id(text: Column) -> Column:
@@ -20,8 +28,27 @@ def content_id(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def _long_text(value: Column) -> Column:
-    return F.round(value).cast("long").cast("string")
+# Modulus and multipliers of the line hash (fixed values; the SQL checks use the same).
+HASH_PRIME = 2147483647
+HASH_MULTIPLIERS = (1000003, 998244353)
+
+
+def numbers_id(*values: Column) -> Column:
+    """62 bits from long columns: two polynomial hashes, each modulo a 31-bit prime. Plain long arithmetic, no text."""
+
+    def polynomial(multiplier: int) -> Column:
+        h = F.lit(7).cast("long")
+        for value in values:
+            h = (h * multiplier + value % HASH_PRIME) % HASH_PRIME
+        return h
+
+    first, second = HASH_MULTIPLIERS
+    return polynomial(first) * HASH_PRIME + polynomial(second)
+
+
+def _rounded(value: Column) -> Column:
+    """Nearest whole number of a positive double; ``floor`` stays in machine arithmetic where ``round`` goes through decimals."""
+    return F.floor(value + F.lit(0.5))
 
 
 def provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,19 +115,15 @@ def sku_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.concat_ws(
-        "|",
-        *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-        _long_text(F.col("l_quantity")),
-        *[_long_text(F.col(c) * 100) for c in ("l_extendedprice", "l_discount", "l_tax")],
-        F.to_date("l_shipdate").cast("string"),
-    )
+    content = [F.col(c).cast("long") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    content += [_rounded(F.col(c) * 100) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+    content += [F.unix_date(F.to_date("l_shipdate")).cast("long")]
     return table(spark, sf_dir, "lineitem").select(
-        content_id(line).alias("id"),
+        numbers_id(*content).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
-        F.round("l_quantity").cast("long").alias("sku_num"),
-        F.round(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("long").alias("order_price_c"),
+        _rounded(F.col("l_quantity")).alias("sku_num"),
+        _rounded(F.col("l_extendedprice") * 100 / F.col("l_quantity")).alias("order_price_c"),
         F.concat(F.lit("sku "), F.col("l_partkey").cast("string")).alias("sku_name"),
     )
 
