@@ -55,7 +55,7 @@ VIEWS: dict[str, str] = {
         from {orders} o left join user_status s on s.user_id = o.user_id""",
     "pair": """
         select distinct l.order_id, l.id as order_detail_id, l.sku_id, l.sku_num, l.order_price_c,
-               l.order_price_c * l.sku_num as amount_c, o.original_total_c, o.final_total_c, o.create_time
+               l.order_price_c * l.sku_num as amount_c, o.original_total_c, o.final_total_c, o.create_time, o.province_id
         from line l join ord o on o.id = l.order_id""",
     "share": """
         select *, case when original_total_c = 0 then 0 else
@@ -114,6 +114,11 @@ def _with(views: list[str], select: str, flagged_from: str = "ord") -> str:
     return f"with {', '.join(texts)} {select}"
 
 
+_PAIR_ROWS = """
+    select a.order_id, a.order_detail_id, a.sku_id, a.amount_c, k.tm_name, p.name as province_name
+    from pair a left join sku_info k on k.id = cast(a.sku_id as varchar)
+         left join province_info p on p.id = cast(a.province_id as varchar)"""
+
 _MARK = r"(^|[^\p{L}\p{N}" "\x01" r"])(the|eau)([^\p{L}\p{N}" "\x02" r"]|$)"
 _MARKED = "\\1\x01\\2\x02\\3"
 
@@ -235,4 +240,16 @@ CHECKS: dict[str, str] = {
         select 'event_readers' as group_id, 'events' as topic, cast(event_id % 4 as integer) as partition_id,
                max(event_id // 4) + 1 as topic_offset
         from events group by 3""",
+    "dau_first_visit_stream": _with(["dau"], "select dt, mid, uid from dau"),
+    "first_order_flag_stream": _with(["flagged"], """
+        select user_id, count(*) as n_orders, cast(sum(cast(if_first_order as integer)) as bigint) as n_first
+        from flagged group by user_id"""),
+    "order_wide_stream": _with(["pair", "sku_info", "province_info"], _PAIR_ROWS),
+    "order_wide_stream_delayed": _with(["pair", "sku_info", "province_info"], _PAIR_ROWS),
+    "paid_allocation_stream": _with(["pair"], """
+        select order_id, count(*) as n_lines, cast(max(final_total_c) as double) / 100 as paid from pair group by order_id"""),
+    "trademark_sales_stream": _with(["alloc", "sku_info"], """
+        select coalesce(tm_id, '0') as trademark_id, tm_name as trademark_name,
+               cast(cast(sum(final_detail_c) as bigint) as double) / 100 as amount
+        from alloc left join sku_info k on k.id = cast(alloc.sku_id as varchar) group by 1, 2"""),
 }

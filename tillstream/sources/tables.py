@@ -34,9 +34,9 @@ def read_dim(spark: SparkSession, path: str, keys: list[str], version: list[str]
 
 
 def read_day(spark: SparkSession, path: str, day: str, keys: list[str] | None = None, version: list[str] | None = None) -> DataFrame:
-    """One day of a daily index. Only that day's directories are read."""
-    rows = read_log(spark, path).withColumn("dt", F.col("dt").cast("string")).where(F.col("dt") == day)
-    return latest_per_key(rows, ["dt", *keys], [BATCH, *(version or [])]).drop(BATCH) if keys else rows.drop(BATCH)
+    """One day of a daily index (``streaming.sinks.append_days``). Only that day's directory is listed and read."""
+    rows = spark.read.option("basePath", path).parquet(f"{path}/dt={day}").withColumn("dt", F.lit(day))
+    return latest_per_key(rows, keys, [BATCH, *(version or [])]).drop(BATCH) if keys else rows.drop(BATCH)
 
 
 def read_sql(spark: SparkSession, url: str, query: str, driver: str | None = None, **options: str) -> DataFrame:

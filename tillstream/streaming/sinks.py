@@ -1,7 +1,7 @@
 """Sinks (SK1-SK13, DD3).
 
-Tables that a stream writes are upsert logs: each micro-batch has its own directory ``batch_id=<n>`` and overwrites it when
-the batch is repeated, so a batch counts once however often it runs. Readers take the latest row per key
+Tables that a stream writes are upsert logs: each micro-batch has its own directories ``batch_id=<n>`` and overwrites them
+when the batch is repeated, so a batch counts once however often it runs. Readers take the latest row per key
 (``sources.tables.read_dim``). Nothing already written is rewritten by an upsert.
 """
 
@@ -41,10 +41,20 @@ def write_topic_files(messages: DataFrame, root: str, mode: str = "append") -> N
     rows.write.mode(mode).partitionBy("topic").parquet(root)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None) -> None:
-    """Writes a micro-batch to its own directory of an upsert log (SK4-SK7, SK9)."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/{BATCH}={batch_id}")
+def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Writes a micro-batch to its own directory of an upsert log (SK4, SK5, SK7, SK9)."""
+    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+
+
+def append_days(df: DataFrame, path: str, batch_id: int) -> None:
+    """The same for a daily index: a directory per day ``dt``, below it one per micro-batch (SK6, DD3).
+
+    A reader of one day lists that day only. Rows of a day are brought together first, so that there is no file per task and
+    day; Spark splits a large day over several tasks.
+    """
+    rows = df.withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", F.col("dt"))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("dt", BATCH).parquet(path)
 
 
 def compact(spark: SparkSession, path: str, target: str, keys: list[str], version: list[str] | None = None) -> None:
