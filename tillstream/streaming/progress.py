@@ -48,8 +48,8 @@ def read_offsets(spark: SparkSession, path: str, topic: str, group: str) -> dict
 def offset_ranges(query: StreamingQuery) -> list[tuple[int, dict, dict]]:
     """(batch id, start offsets, end offsets) of the last micro-batches, per source description (PR6)."""
 
-    def parsed(text):
-        return json.loads(text) if isinstance(text, str) else text
+    def parsed(text):  # the first batch has no start
+        return None if text in (None, "None") else json.loads(text) if isinstance(text, str) else text
 
     return [
         (
