@@ -87,7 +87,7 @@ def with_newcomers(orders_stream: DataFrame) -> DataFrame:
     Spark's own de-duplication state remembers the users; it is kept for good. ``flag_arrivals`` turns a micro-batch
     of this stream into flagged orders.
     """
-    users = dedup_stream(orders_stream.select("user_id"), ["user_id"], within_watermark=False)
+    users = dedup_stream(orders_stream.select("user_id", "id"), ["user_id"], within_watermark=False).select("user_id")
     arrivals = orders_stream.withColumn("_newcomer", F.lit(False))
     return arrivals.unionByName(users.withColumn("_newcomer", F.lit(True)), allowMissingColumns=True)
 

@@ -26,8 +26,8 @@ def sales_by_hour(pairs: DataFrame, day: str) -> DataFrame:
 
 
 def as_map(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """Rows as one map. Meant for the results per hour, which have 24 rows at most."""
-    return rows.agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("result"))
+    """Rows as one map in key order. Meant for the results per hour, which have 24 rows at most."""
+    return rows.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, value)))).alias("result"))
 
 
 def sliding_sums(rows: DataFrame, time: str, value: str, length_s: int = 20, slide_s: int = 5) -> DataFrame:

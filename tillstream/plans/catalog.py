@@ -94,7 +94,8 @@ def dau_two_days(spark, sf_dir):
 
 @query
 def dau_hour_map(spark, sf_dir):
-    return sales.as_map(dau.active_by_hour(flows.daily_active(spark, sf_dir), DAU_DAY), "hr", "value")
+    per_hour = dau.active_by_hour(flows.daily_active(spark, sf_dir), DAU_DAY)
+    return sales.as_map(per_hour, "hr", "value").select(F.to_json("result").alias("result"))
 
 
 # Orders

@@ -50,13 +50,13 @@ VIEWS: dict[str, str] = {
              on t.order_id = head.id""",
     "flagged": """
         select o.*, case when s.user_id is null
-                 and row_number() over (partition by o.user_id order by o.create_time, o.id) = 1 then '1' else '0' end
+                 and rank() over (partition by o.user_id order by o.create_time, o.id) = 1 then '1' else '0' end
                as if_first_order
         from {orders} o left join user_status s on s.user_id = o.user_id""",
     "pair": """
         select distinct l.order_id, l.id as order_detail_id, l.sku_id, l.sku_num, l.order_price_c,
                l.order_price_c * l.sku_num as amount_c, o.original_total_c, o.final_total_c, o.create_time, o.province_id
-        from line l join ord o on o.id = l.order_id""",
+        from line l join (select distinct * from ord) o on o.id = l.order_id""",
     "share": """
         select *, case when original_total_c = 0 then 0 else
                cast((cast(2 as hugeint) * final_total_c * amount_c + original_total_c) // (2 * original_total_c) as bigint)
@@ -144,6 +144,9 @@ CHECKS: dict[str, str] = {
     "dau_first_visit": _with(["dau"], "select * from dau"),
     "dau_total": _with(["dau"], f"select count(*) as value from dau where dt = '{DAU_DAY}'"),
     "dau_by_hour": _with(["dau"], f"select hr, count(*) as value from dau where dt = '{DAU_DAY}' group by hr"),
+    "dau_hour_map": _with(["dau"], f"""
+        select '{{' || coalesce(string_agg('"' || hr || '":' || n, ',' order by hr), '') || '}}' as result
+        from (select hr, count(*) as n from dau where dt = '{DAU_DAY}' group by hr)"""),
     "dau_two_days": _with(["dau"], f"""
         select hr, nullif(count(*) filter (where dt = cast(date '{DAU_DAY}' - 1 as varchar)), 0) as yesterday,
                nullif(count(*) filter (where dt = '{DAU_DAY}'), 0) as today
@@ -188,7 +191,7 @@ CHECKS: dict[str, str] = {
                u.gender as user_gender, substr(f.create_time, 1, 10) as dt,
                coalesce(cast(k.spu_id as bigint), 0) as spu_id, coalesce(cast(k.tm_id as bigint), 0) as tm_id,
                coalesce(cast(k.category3_id as bigint), 0) as category3_id, k.spu_name, k.tm_name, k.category3_name
-        from alloc a join flagged f on f.id = a.order_id
+        from alloc a join (select distinct * from flagged) f on f.id = a.order_id
              left join province_info p on p.id = cast(f.province_id as varchar)
              left join user_info u on u.id = cast(f.user_id as varchar)
              left join sku_info k on k.id = cast(a.sku_id as varchar)"""),
@@ -246,8 +249,12 @@ CHECKS: dict[str, str] = {
         from flagged group by user_id"""),
     "order_wide_stream": _with(["pair", "sku_info", "province_info"], _PAIR_ROWS),
     "order_wide_stream_delayed": _with(["pair", "sku_info", "province_info"], _PAIR_ROWS),
-    "paid_allocation_stream": _with(["pair"], """
-        select order_id, count(*) as n_lines, cast(max(final_total_c) as double) / 100 as paid from pair group by order_id"""),
+    # An order whose lines never add up to its total stays open: its lines keep their plain shares.
+    "paid_allocation_stream": _with(["share"], """
+        select order_id, count(*) as n_lines,
+               cast(cast(case when sum(amount_c) = max(original_total_c) then max(final_total_c) else sum(share_c) end as bigint)
+                    as double) / 100 as paid
+        from share group by order_id"""),
     "trademark_sales_stream": _with(["alloc", "sku_info"], """
         select coalesce(tm_id, '0') as trademark_id, tm_name as trademark_name,
                cast(cast(sum(final_detail_c) as bigint) as double) / 100 as amount
