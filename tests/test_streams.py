@@ -133,6 +133,7 @@ def test_lines_before_and_after_their_order(spark, session, root):
         ([head(1, 0)], [line(11, 1, 0), line(21, 2, 1)]),
         ([head(2, 1)], [line(12, 1, 2), line(22, 2, 1)]),
         ([], [line(11, 1, 0), line(22, 2, 1)]),  # a replay
+        ([head(1, 0)] * 3, [line(12, 1, 2)] * 3),  # and another one, of the order too
         ([head(3, 60)], [line(31, 3, 60), line(91, 9, 60)]),
         ([head(4, 62)], [line(13, 1, 3), line(41, 4, 62)]),  # line 13 is an hour late
     ]
