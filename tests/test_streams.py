@@ -242,7 +242,8 @@ def test_statistics_and_offsets(spark, session, root):
 
     send(spark, f"{root}/t", "dws_order_wide", [wide_record(1, 0.1), wide_record(2, 0.2), wide_record(3, 5.0, 0)])
     query = run(job(), f"{root}/c")
-    assert offset_ranges(query)[0][0] == 0
+    batch_id, begin, end = offset_ranges(query)[0]
+    assert batch_id == 0 and list(begin.values()) == [None] and list(end.values()) == [{"logOffset": 0}]
     send(spark, f"{root}/t", "dws_order_wide", [wide_record(4, 1.0)], 3)
     run(job(), f"{root}/c")
     stats = read_log(spark, f"{root}/stats")

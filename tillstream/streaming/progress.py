@@ -46,16 +46,16 @@ def read_offsets(spark: SparkSession, path: str, topic: str, group: str) -> dict
 
 
 def offset_ranges(query: StreamingQuery) -> list[tuple[int, dict, dict]]:
-    """(batch id, start offsets, end offsets) of the last micro-batches, per source description (PR6)."""
-
-    def parsed(text):  # the first batch has no start
-        return None if text in (None, "None") else json.loads(text) if isinstance(text, str) else text
+    """(batch id, start offsets, end offsets) of the last micro-batches, per source description (PR6).
 
+    The start of a source's first batch is None.
+    """
+    reports = [json.loads(p.json) for p in query.recentProgress]
     return [
         (
-            p["batchId"],
-            {s["description"]: parsed(s["startOffset"]) for s in p["sources"]},
-            {s["description"]: parsed(s["endOffset"]) for s in p["sources"]},
+            r["batchId"],
+            {s["description"]: s["startOffset"] for s in r["sources"]},
+            {s["description"]: s["endOffset"] for s in r["sources"]},
         )
-        for p in query.recentProgress
+        for r in reports
     ]
