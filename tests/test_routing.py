@@ -20,7 +20,7 @@ def test_logs_are_routed_by_start(spark):
 def test_only_upper_case_inserts_and_one_row_per_element(spark):
     changes = texts(
         spark,
-        {"type": "INSERT", "table": "a", "data": [{"id": "1"}, {"id": "2"}]},
+        {"ts": 1, "type": "INSERT", "table": "a", "data": [{"id": "1"}, {"id": "2", "price": "1.10", "n": 1.10, "deep": {"x": [1]}}]},
         {"type": "insert", "table": "a", "data": [{"id": "3"}]},
         {"type": "UPDATE", "table": "a", "data": [{"id": "4"}]},
         {"type": "INSERT", "table": "b", "data": []},
@@ -28,14 +28,18 @@ def test_only_upper_case_inserts_and_one_row_per_element(spark):
         "{broken",
     )
     got = rows(routing.split_changes(changes))
-    assert got == [("ods_a", '{"id":"1"}'), ("ods_a", '{"id":"2"}')]
+    assert [(topic, json.loads(value)) for topic, value in got] == [
+        ("ods_a", {"id": "1"}), ("ods_a", {"id": "2", "price": "1.10", "n": 1.1, "deep": {"x": [1]}}),
+    ]
+    assert '"price":"1.10"' in got[1][1].replace(" ", "")
 
 
 def test_second_tool_takes_objects_and_lower_case(spark):
     changes = texts(
         spark, {"type": "insert", "table": "a", "data": {"id": "3"}}, {"type": "INSERT", "table": "a", "data": [{"id": "4"}]}
     )
-    assert rows(routing.split_changes_any(changes)) == [("ods_a", '{"id":"3"}'), ("ods_a", '{"id":"4"}')]
+    got = rows(routing.split_changes_any(changes))
+    assert [(topic, json.loads(value)) for topic, value in got] == [("ods_a", {"id": "3"}), ("ods_a", {"id": "4"})]
 
 
 def test_row_changes(spark):

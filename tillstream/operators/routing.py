@@ -24,13 +24,14 @@ def _records(data_text):
 def split_changes(changes: DataFrame, insert_types: tuple[str, ...] = ("INSERT",)) -> DataFrame:
     """Inserted rows of change envelopes ``{type, table, data}``, one output row per element of ``data``.
 
-    ``topic`` is ``ods_<table>`` and ``value`` the JSON text of the row. Null and empty ``data`` give no row.
+    ``topic`` is ``ods_<table>`` and ``value`` the JSON text of the row. Null and empty ``data`` give no row. The envelope is
+    parsed once; ``data`` stays text until the other types are gone.
     """
-    value = F.col("value")
-    inserts = changes.where(json_field(value, "type").isin(*insert_types))
+    envelope = F.from_json("value", "type string, table string, data string").alias("change")
+    inserts = changes.select(envelope).where(F.col("change.type").isin(*insert_types))
     rows = inserts.select(
-        F.concat(F.lit(ODS_PREFIX), json_field(value, "table")).alias("topic"),
-        F.explode(_records(json_field(value, "data"))).alias("value"),
+        F.concat(F.lit(ODS_PREFIX), F.col("change.table")).alias("topic"),
+        F.explode(_records(F.col("change.data"))).alias("value"),
     )
     return rows.where(F.col("value").isNotNull())
 
