@@ -10,6 +10,8 @@ TABLES = (
 ).split()
 QUERIES = __spark_entry__.queries()
 CHECKS = __spark_entry__.oracle_sql()
+# At sf0.001 every user has more than one order; test_batch_operators has such users.
+EMPTY_WHEN_SMALL = {"single_order_users"}
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +35,7 @@ def test_same_rows_as_sql(spark, sf_dir, duck, name):
     assert sorted(names) == columns
     want = [tuple(r[names.index(c)] for c in columns) for r in cursor.fetchall()]
     assert _sorted(got.select(*columns).collect()) == _sorted(want)
-    assert want, "the check must not be empty"
+    assert want or name in EMPTY_WHEN_SMALL, "the check must not be empty"
 
 
 def test_every_query_has_a_check():

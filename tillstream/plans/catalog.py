@@ -20,7 +20,7 @@ from tillstream.streaming.runtime import configure
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAU_DAY = "2024-01-15"
-SALES_DAY = "1997-05-28"
+SALES_DAY = "1995-06-19"
 SEARCH_TEXT = "the eau"
 SEARCH_ACTOR = "en"
 DOC_ID = 42
