@@ -57,10 +57,11 @@ def test_logs_and_changes_are_split(spark, session, root):
     run(jobs.route_logs(open_stream(session, Topic("app", root=f"{root}/t")), out), f"{root}/c1")
     assert spark.read.parquet(f"{root}/t/topic=startup_log").count() == 1
     assert spark.read.parquet(f"{root}/t/topic=event_log").count() == 1
-    send(spark, f"{root}/t", "db", [{"type": "INSERT", "table": "x", "data": [{"id": 1}, {"id": 2}]}, {"type": "insert", "table": "x", "data": {"id": 3}}])
-    run(jobs.split_changes(open_stream(session, Topic("db", root=f"{root}/t")), out), f"{root}/c2")
+    send(spark, f"{root}/t", "db", [{"type": "INSERT", "table": "x", "data": [{"id": 1}, {"id": 2}]}, {"type": "insert", "table": "x", "data": {"id": 3}}, "{broken", None])
+    run(jobs.split_changes(open_stream(session, Topic("db", root=f"{root}/t")), out, f"{root}/bad1"), f"{root}/c2")
+    assert spark.read.parquet(f"{root}/bad1").count() == 2
     assert spark.read.parquet(f"{root}/t/topic=ods_x").count() == 2
-    run(jobs.split_changes(open_stream(session, Topic("db", root=f"{root}/t")), out, any_spelling=True), f"{root}/c3")
+    run(jobs.split_changes(open_stream(session, Topic("db", root=f"{root}/t")), out, f"{root}/bad2", any_spelling=True), f"{root}/c3")
     assert spark.read.parquet(f"{root}/t/topic=ods_x").count() == 5
 
 

@@ -21,14 +21,23 @@ def _records(data_text):
     return F.from_json(listed, "array<string>")
 
 
+def _envelope():
+    return F.from_json("value", "type string, table string, data string")
+
+
+def no_envelopes(changes: DataFrame) -> DataFrame:
+    """Texts that are no change envelope: not JSON, or without a type or a table."""
+    change = _envelope()
+    return changes.where(change["type"].isNull() | change["table"].isNull()).select("value")
+
+
 def split_changes(changes: DataFrame, insert_types: tuple[str, ...] = ("INSERT",)) -> DataFrame:
     """Inserted rows of change envelopes ``{type, table, data}``, one output row per element of ``data``.
 
     ``topic`` is ``ods_<table>`` and ``value`` the JSON text of the row. Null and empty ``data`` give no row. The envelope is
     parsed once; ``data`` stays text until the other types are gone.
     """
-    envelope = F.from_json("value", "type string, table string, data string").alias("change")
-    inserts = changes.select(envelope).where(F.col("change.type").isin(*insert_types))
+    inserts = changes.select(_envelope().alias("change")).where(F.col("change.type").isin(*insert_types))
     rows = inserts.select(
         F.concat(F.lit(ODS_PREFIX), F.col("change.table")).alias("topic"),
         F.explode(_records(F.col("change.data"))).alias("value"),

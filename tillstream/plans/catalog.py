@@ -14,7 +14,7 @@ from tillstream.schemas import ORDER_INFO_SOURCE
 from tillstream.sources import shop
 from tillstream.sources.records import json_field, parse_records
 from tillstream.sources.tables import latest_per_key
-from tillstream.streaming.progress import batch_offsets, latest_offsets
+from tillstream.streaming.progress import latest_offsets
 from tillstream.streaming.runtime import configure
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -44,7 +44,8 @@ def parse_records(
 ) -> Parsed:
     """Typed records of the JSON texts in column ``value``.
 
-    ``required`` fields must be present and castable, and ``times`` must be texts of a date and time. Columns named in ``keep`` are carried along, and the text itself under the name ``raw``. Works on batch and streaming
+    ``required`` fields must be present and castable, and ``times`` must be texts of a date and time.
+    Columns named in ``keep`` are carried along, and the text itself under the name ``raw``. Works on batch and streaming
     DataFrames.
     """
     text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
