@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstream.llm import bpe, licenses
+from tillstream.llm import bpe, language, licenses, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +33,24 @@ def op8_token_counts(spark, sf_dir):
     import public_tokenizers
 
     return bpe.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op2_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = language.predict(docs, language.learn(docs.select("doc_id", "text", "lang")))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
+    found = quality.score(docs, model)
+    good = (F.col("score") >= quality.ACCEPT).cast("int")
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", good.alias("predicted"))
+
+
+@query
+def op7_personal_data(spark, sf_dir):
+    return pii.find(documents(spark, sf_dir))
