@@ -48,7 +48,7 @@ def _words(names) -> str:
 
 
 DIGIT_WORD = rf"(?:{_words(SPELLED)})"
-DIGITS_SPELLED = re.compile(rf"(?i)\b{DIGIT_WORD}(?:[ ,.\t-]{{1,3}}{DIGIT_WORD}){{{LEAST_SPELLED - 1},}}\b")
+DIGITS_SPELLED = re.compile(rf"(?i)\b(?=[zeondtfsuvcqh]){DIGIT_WORD}(?:[ ,.\t-]{{1,3}}{DIGIT_WORD}){{{LEAST_SPELLED - 1},}}\b")
 ONE_DIGIT = re.compile(rf"(?i){DIGIT_WORD}")
 PLUS_WORD = re.compile(rf"(?i)\bplus[ -]{{1,3}}(?=[0-9]|{DIGIT_WORD}\b)")
 # at and dot in brackets or bare. A bare one counts only inside a chain "name at name dot name".
@@ -60,7 +60,7 @@ CHAIN = re.compile(
     rf"(?P<at>[ \t]{{0,3}}@[ \t]{{0,3}}|[ \t]{{1,3}}at[ \t]{{1,3}})"
     rf"[A-Za-z0-9-]{{1,63}}(?:(?:\.|[ \t]{{1,3}}dot[ \t]{{1,3}})[A-Za-z0-9-]{{1,63}}){{1,6}}"
 )
-AT_WORD = re.compile(r"(?i)[ \t]{1,3}at[ \t]{1,3}|[ \t]{0,3}@[ \t]{0,3}")
+DOTTED_NUMBER = re.compile(r"(?i)(?<![0-9.])[0-9]{1,3}(?:(?:\.|[ \t]{1,3}dot[ \t]{1,3})[0-9]{1,3}){3}(?![0-9])")
 DOT_WORD = re.compile(r"(?i)[ \t]{1,3}dot[ \t]{1,3}")
 # Signs that a text may hold a disguise at all; the transducers run on such texts only, and leave all others as they are.
 HINT = re.compile(rf"[{INVISIBLE}{AT_SIGNS}{STOPS}{''.join(LOOKALIKES)}！-～٠-٩۰-۹०-९\U0001d400-\U0001d7ff]")
@@ -153,9 +153,8 @@ def plain_character(char: str) -> str:
 
 def normalise(text: str) -> Mapped | None:
     """The text without disguises, or None if there is none in it."""
-    lower_hits = sum(text.count(w) for w in ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "zero"))
-    look, words = HINT.search(text), HINT_WORDS.search(text)
-    if not (look or words or lower_hits >= LEAST_SPELLED or DIGITS_SPELLED.search(text)):
+    look = not text.isascii() and HINT.search(text)
+    if not (look or HINT_WORDS.search(text) or DIGITS_SPELLED.search(text)):
         return None
     out = Mapped(text)
     if look:
@@ -179,6 +178,8 @@ def normalise(text: str) -> Mapped | None:
         changes.append((a, b, "@"))
         changes += [(d.start(), d.end(), ".") for d in DOT_WORD.finditer(out.text, b, m.end())]
     out.rewrite([c for c in changes if out.text[c[0] : c[1]] != c[2]])
+    numbers = [DOT_WORD.finditer(out.text, *m.span()) for m in DOTTED_NUMBER.finditer(out.text)]
+    out.rewrite([(d.start(), d.end(), ".") for found in numbers for d in found])
     return out if out.text != text else None
 
 
