@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe, language, licenses, pii, quality
+from tillstream.llm import bpe, language, licenses, order_minhash, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,3 +54,8 @@ def op5_quality(spark, sf_dir):
 @query
 def op7_personal_data(spark, sf_dir):
     return pii.find(documents(spark, sf_dir))
+
+
+@query
+def op10_fingerprints(spark, sf_dir):
+    return order_minhash.fingerprints(documents(spark, sf_dir))
