@@ -57,8 +57,10 @@ class Words:
 
     def _grow(self, n: int) -> None:
         if len(self.powers) <= n:
-            step = lambda root: np.cumprod(np.concatenate(([1], np.full(n, root, np.uint64))).astype(np.uint64))
-            self.powers, self.inverse = step(np.uint64(ROOT)), step(np.uint64(pow(ROOT, -1, 2**64)))
+            for name, root in (("powers", ROOT), ("inverse", pow(ROOT, -1, 2**64))):
+                factors = np.full(n + 1, root, np.uint64)
+                factors[0] = 1
+                setattr(self, name, np.cumprod(factors))
 
     def find(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and end of each word, and for each row the number of words before it (one more entry at the end)."""
