@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe, decontaminate, language, licenses, order_minhash, pii, quality
+from tillstream.llm import bpe, decontaminate, jaccard_join, language, licenses, order_minhash, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +64,8 @@ def op10_fingerprints(spark, sf_dir):
 @query
 def op3_decontamination(spark, sf_dir):
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join.classes(documents(spark, sf_dir))
