@@ -15,6 +15,7 @@ from pyspark.sql.types import LongType, StringType
 from tillstream.llm.batches import slices
 
 KINDS = ("email", "ip", "card", "phone")
+COLUMNS = (*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "masked")  # that ``find`` adds
 # Patterns of the base detectors. Fixed values.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")

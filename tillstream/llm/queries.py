@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe, decontaminate, jaccard_join, language, licenses, order_minhash, pii, quality
+from tillstream.llm import bpe, decontaminate, jaccard_join, language, licenses, mixing, order_minhash, paragraphs, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,3 +69,13 @@ def op3_decontamination(spark, sf_dir):
 @query
 def op4_jaccard_join(spark, sf_dir):
     return jaccard_join.classes(documents(spark, sf_dir))
+
+
+@query
+def op9_mixing(spark, sf_dir):
+    return mixing.mixture(documents(spark, sf_dir))
+
+
+@query
+def op6_paragraphs(spark, sf_dir):
+    return paragraphs.repeats(documents(spark, sf_dir))
