@@ -80,6 +80,8 @@ def repeats_needed(items: list[np.ndarray], similarity: float, recall: float) ->
 
     Measured on up to 100 items and random edits; the walks over other items follow the same law.
     """
+    if not items:
+        return 1
     draw = np.random.default_rng(SEED)
     walks, hits = Walks(MOST_REPEATS), []
     for item in items[:: max(1, len(items) // 100)][:100]:

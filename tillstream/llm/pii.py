@@ -15,7 +15,6 @@ from pyspark.sql.types import LongType, StringType
 from tillstream.llm.batches import slices
 
 KINDS = ("email", "ip", "card", "phone")
-COLUMNS = (*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "masked")  # that ``find`` adds
 # Patterns of the base detectors. Fixed values.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -187,7 +186,8 @@ def normalise(text: str) -> Mapped | None:
 def spans(text: str) -> tuple[list, list]:
     """Base spans, and those with the spans added that show only without the disguises.
 
-    A span of the normalised text is added if some of it was disguised and no base span of its kind overlaps its source.
+    A span of the normalised text is added if some of it was disguised, and each base span of its kind that its source
+    overlaps is a part of it.
     """
     base = detect(text)
     mapped = normalise(text)
@@ -196,7 +196,8 @@ def spans(text: str) -> tuple[list, list]:
     every = list(base)
     for a, kind, b in detect(mapped.text):
         start, end = mapped.source(a, b)
-        if text[start:end] != mapped.text[a:b] and not any(k == kind and s < end and start < e for s, k, e in base):
+        near = [(s, e) for s, k, e in base if k == kind and s < end and start < e]
+        if text[start:end] != mapped.text[a:b] and all(start <= s and e <= end for s, e in near):
             every.append((start, kind, end))
     return base, sorted(set(every))
 
