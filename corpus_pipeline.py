@@ -32,9 +32,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that the quality classifier accepts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality.fit(docs.select("doc_id", "text"), labels)
-    scored = quality.score(docs.withColumnsRenamed({"score": "__score"}), model, keep=_renamed(docs, "score"))
-    kept = scored.where(F.col("score") >= quality.ACCEPT).drop("score")
-    return kept.withColumnsRenamed({"__score": "score"}).select(*docs.columns)
+    scored = quality.score(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, keep=("row",))
+    return scored.where(F.col("score") >= quality.ACCEPT).select("row.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +50,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind in brackets; ``n_chars`` is that of the new text."""
-    found = pii.find(docs.withColumnsRenamed({c: f"__{c}" for c in pii.COLUMNS}), keep=_renamed(docs, *pii.COLUMNS), mask=True)
-    changed = found.withColumns({"text": F.col("masked"), "n_chars": F.length("masked").cast(docs.schema["n_chars"].dataType)})
-    return changed.drop(*pii.COLUMNS).withColumnsRenamed({f"__{c}": c for c in pii.COLUMNS}).select(*docs.columns)
+    rest = [c for c in docs.columns if c != "text"]
+    found = pii.find(docs.select(F.struct(*rest).alias("row"), "text"), keep=("row",), mask=True)
+    changed = found.select("row.*", F.col("masked").alias("text"))
+    return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,10 +71,6 @@ STAGES = [
 ORACLE_SQL = None  # a learned classifier and a disguise remover have no SQL; tests hold the stages against brute force
 
 
-def _renamed(docs: DataFrame, *names: str) -> tuple[str, ...]:
-    return tuple(f"__{c}" if c in names else c for c in docs.columns)
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
