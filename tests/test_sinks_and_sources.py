@@ -67,12 +67,14 @@ def test_create_dimension(spark):
     root = shared_folder(spark, "tables")
     schema, key = DIMENSIONS["user_info"]
     assert schema == USER_INFO and key == "id"
+    user = lambda age: spark.createDataFrame([("1", "a", "b", "F", age, "female")], schema)
+    sinks.append_batch(user("20-29"), root, 0)
     sinks.create_dimension(spark, "user_info", root)
-    user = spark.createDataFrame([("1", "a", "b", "F", "20-29", "female")], schema)
-    sinks.append_batch(user, root, 0)
-    spark.sql("MSCK REPAIR TABLE user_info")
     assert rows(spark.table("user_info"), "id", "age_group") == [("1", "20-29")]
-    spark.sql("DROP TABLE user_info")
+    sinks.append_batch(user("30-39"), root, 1)
+    sinks.append_batch(user("40+"), root, 0, run="another")
+    assert rows(spark.table("user_info"), "id", "age_group") == [("1", "40+")]
+    spark.sql("DROP VIEW user_info")
 
 
 def test_text_dump(spark):

@@ -230,7 +230,7 @@ def test_wide_job_writes_records_and_messages(spark, session, root):
     run(jobs.order_wide(stream, f"{root}/wide", jobs.to_files(f"{root}/t")), f"{root}/c")
     assert rows(read_log(spark, f"{root}/wide"), "order_detail_id", "final_detail_amount") == [(11, 6.67), (12, 13.33)]
     messages = open_stream(session, Topic("dws_order_wide", root=f"{root}/t"))
-    run(jobs.trademark_stats(messages, "g", f"{root}/stats", f"{root}/offsets"), f"{root}/c2")
+    run(jobs.trademark_stats(messages, "g", f"{root}/stats", f"{root}/offsets", f"{root}/bad"), f"{root}/c2")
     assert rows(read_log(spark, f"{root}/stats"), "trademark_id", "trademark_name", "amount") == [("2", "tm", 20.0)]
 
 
@@ -239,7 +239,8 @@ def test_statistics_and_offsets(spark, session, root):
         return {"order_id": order_id, "tm_id": tm, "tm_name": "a_b" if tm else None, "final_detail_amount": amount}
 
     def job():
-        return jobs.trademark_stats(open_stream(session, Topic("dws_order_wide", root=f"{root}/t")), "g", f"{root}/stats", f"{root}/offsets")
+        stream = open_stream(session, Topic("dws_order_wide", root=f"{root}/t"))
+        return jobs.trademark_stats(stream, "g", f"{root}/stats", f"{root}/offsets", f"{root}/bad")
 
     send(spark, f"{root}/t", "dws_order_wide", [wide_record(1, 0.1), wide_record(2, 0.2), wide_record(3, 5.0, 0)])
     query = run(job(), f"{root}/c")
@@ -253,12 +254,14 @@ def test_statistics_and_offsets(spark, session, root):
     ]
     assert stats.where("stat_time is null").count() == 0
     assert read_offsets(spark, f"{root}/offsets", "dws_order_wide", "g") == {0: 4}
-    # a new query without the checkpoint goes on from the ledger
+    # a new query without the checkpoint goes on from the ledger, in the same tables
     saved = read_offsets(spark, f"{root}/offsets", "dws_order_wide", "g")
-    send(spark, f"{root}/t", "dws_order_wide", [wide_record(5, 2.0)], 4)
+    send(spark, f"{root}/t", "dws_order_wide", [wide_record(5, 2.0), "no record", wide_record(6, "NaN")], 4)
     rest = open_stream(session, Topic("dws_order_wide", root=f"{root}/t", offsets=saved))
-    run(jobs.trademark_stats(rest, "g", f"{root}/stats2", f"{root}/offsets2"), f"{root}/c2")
-    assert rows(read_log(spark, f"{root}/stats2"), "amount") == [(2.0,)]
+    run(jobs.trademark_stats(rest, "g", f"{root}/stats", f"{root}/offsets", f"{root}/bad"), f"{root}/c2")
+    assert rows(read_log(spark, f"{root}/stats"), "trademark_id", "amount") == [("0", 5.0), ("1", 0.3), ("1", 1.0), ("1", 2.0)]
+    assert read_offsets(spark, f"{root}/offsets", "dws_order_wide", "g") == {0: 7}
+    assert len(rows(read_log(spark, f"{root}/bad"), "value")) == 2
 
 
 def test_failed_batch_is_repeated_once(spark, session, root):

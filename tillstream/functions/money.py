@@ -12,7 +12,9 @@ def round_half_up(amount: Column) -> Column:
 
 
 def to_cents(amount: Column) -> Column:
-    return F.floor(amount * 100 + F.lit(0.5)).cast("long")
+    """Whole cents, halves up; NULL for amounts that are no number or beyond the cents a long holds."""
+    usable = ~F.isnan(amount) & (F.abs(amount) < LONG_MAX / 1000)
+    return F.floor(F.when(usable, amount) * 100 + F.lit(0.5)).cast("long")
 
 
 def from_cents(cents: Column) -> Column:

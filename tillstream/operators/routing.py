@@ -9,6 +9,9 @@ from tillstream.schemas import EVENT_LOG, ODS_PREFIX, STARTUP_LOG
 from tillstream.sources.records import json_field
 
 
+ANY_INSERT = ("INSERT", "insert")  # spellings of both capture tools
+
+
 def route_logs(logs: DataFrame) -> DataFrame:
     """Adds ``topic``: logs with a non-null ``start`` go to the start-up topic, all others to the event topic."""
     is_start = json_field(F.col("value"), "start").isNotNull()
@@ -25,10 +28,13 @@ def _envelope():
     return F.from_json("value", "type string, table string, data string")
 
 
-def no_envelopes(changes: DataFrame) -> DataFrame:
-    """Texts that are no change envelope: not JSON, or without a type or a table."""
+def no_envelopes(changes: DataFrame, insert_types: tuple[str, ...] = ("INSERT",)) -> DataFrame:
+    """Texts that are no change envelope: not JSON, without a type or a table, or inserts whose data holds no list of rows."""
     change = _envelope()
-    return changes.where(change["type"].isNull() | change["table"].isNull()).select("value")
+    data = change["data"]
+    broken = change["type"].isin(*insert_types) & data.isNotNull() & _records(data).isNull()
+    unusable = change["type"].isNull() | change["table"].isNull() | F.coalesce(broken, F.lit(False))
+    return changes.where(F.coalesce(unusable, F.lit(True))).select("value")
 
 
 def split_changes(changes: DataFrame, insert_types: tuple[str, ...] = ("INSERT",)) -> DataFrame:
@@ -47,13 +53,13 @@ def split_changes(changes: DataFrame, insert_types: tuple[str, ...] = ("INSERT",
 
 def split_changes_any(changes: DataFrame) -> DataFrame:
     """The same for the second capture tool, which writes ``insert`` and puts a single object in ``data``."""
-    return split_changes(changes, ("INSERT", "insert"))
+    return split_changes(changes, ANY_INSERT)
 
 
 def row_data_entries(entries: DataFrame, table: str | None = None) -> DataFrame:
     """Without a table: every entry but transaction begins and ends. With one: only that table's row data."""
     if table is None:
-        return entries.where(~F.col("entry_type").isin("TRANSACTIONBEGIN", "TRANSACTIONEND"))
+        return entries.where(~F.coalesce(F.col("entry_type"), F.lit("")).isin("TRANSACTIONBEGIN", "TRANSACTIONEND"))
     return entries.where((F.col("entry_type") == "ROWDATA") & (F.col("table") == table))
 
 

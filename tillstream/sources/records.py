@@ -61,11 +61,12 @@ def parse_records(
     return Parsed(good, typed.where(~complete).select(F.col("_raw").alias(value)))
 
 
+LATEST_MS = 253402300799999  # the last millisecond of the year 9999; a later time is no time
 APP_LOG_COMMON = ["mid", "uid", "ar", "ch", "vc"]
 
 
-def parse_app_log(df: DataFrame, value: str = "value", keep: list[str] | None = None) -> Parsed:
-    """App logs: ``common.*`` as a struct and ``ts`` as long; a log without device or time is bad."""
+def parse_app_log(df: DataFrame, value: str = "value", keep: list[str] | None = None, raw: str | None = None) -> Parsed:
+    """App logs: ``common.*`` as a struct and ``ts`` as long; a log without device or time is bad. ``raw`` names its text."""
     schema = T.StructType(
         [
             T.StructField("common", T.StructType([T.StructField(n, T.StringType()) for n in APP_LOG_COMMON])),
@@ -76,8 +77,10 @@ def parse_app_log(df: DataFrame, value: str = "value", keep: list[str] | None =
     read = df.select(
         *(keep or []), F.col(value).alias("_raw"), log.getField("common").alias("common"), log.getField("ts").try_cast("long").alias("ts")
     )
-    complete = F.col("ts").isNotNull() & F.col("common.mid").isNotNull()
-    return Parsed(read.where(complete).drop("_raw"), read.where(~complete).select(F.col("_raw").alias(value)))
+    complete = F.coalesce(F.col("ts").between(0, LATEST_MS), F.lit(False)) & F.col("common.mid").isNotNull()
+    good = read.where(complete)
+    good = good.withColumnRenamed("_raw", raw) if raw else good.drop("_raw")
+    return Parsed(good, read.where(~complete).select(F.col("_raw").alias(value)))
 
 
 def carry_bad(result: DataFrame, bad: DataFrame, value: str = "value") -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH = "batch_id"
+RUN = "run"  # the query that wrote a batch
+WRITTEN = "written_us"  # when it did
 
 
 def latest_per_key(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
@@ -20,23 +22,31 @@ def latest_per_key(df: DataFrame, keys: list[str], version: list[str]) -> DataFr
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All rows of an upsert log (``streaming.sinks.append_batch``), with the writing batch in ``batch_id``."""
+    """All rows of an upsert log (``streaming.sinks.append_batch``), with the writing batch in ``batch_id`` and the time of it."""
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(T.StructType(schema.fields + [T.StructField(BATCH, T.LongType())]))
-    return reader.parquet(path).withColumn(BATCH, F.col(BATCH).cast("long"))
+        places = [T.StructField(WRITTEN, T.LongType()), T.StructField(BATCH, T.LongType()), T.StructField(RUN, T.StringType())]
+        reader = reader.schema(T.StructType(schema.fields + places))
+    return reader.parquet(path).withColumn(BATCH, F.col(BATCH).cast("long")).drop(RUN)
+
+
+def latest_rows_sql(path: str, key: str, columns: list[str]) -> str:
+    """The query of :func:`read_dim` as SQL."""
+    newest = f"row_number() OVER (PARTITION BY {key} ORDER BY {WRITTEN} DESC, {BATCH} DESC)"
+    return f"SELECT {', '.join(columns)} FROM (SELECT *, {newest} AS _rank FROM parquet.`{path}`) WHERE _rank = 1"
 
 
 def read_dim(spark: SparkSession, path: str, keys: list[str], version: list[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Current rows of a dimension table: the last written row per key. Column names match in any letter case."""
     rows = read_log(spark, path, schema)
-    return latest_per_key(rows, keys, [BATCH, *(version or [])]).drop(BATCH)
+    return latest_per_key(rows, keys, [WRITTEN, BATCH, *(version or [])]).drop(WRITTEN, BATCH)
 
 
 def read_day(spark: SparkSession, path: str, day: str, keys: list[str] | None = None, version: list[str] | None = None) -> DataFrame:
     """One day of a daily index (``streaming.sinks.append_days``). Only that day's directory is listed and read."""
     rows = spark.read.option("basePath", path).parquet(f"{path}/dt={day}").withColumn("dt", F.lit(day))
-    return latest_per_key(rows, keys, [BATCH, *(version or [])]).drop(BATCH) if keys else rows.drop(BATCH)
+    current = latest_per_key(rows, keys, [WRITTEN, BATCH, *(version or [])]) if keys else rows
+    return current.drop(WRITTEN, BATCH, RUN)
 
 
 def read_sql(spark: SparkSession, url: str, query: str, driver: str | None = None, **options: str) -> DataFrame:

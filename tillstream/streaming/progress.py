@@ -1,7 +1,7 @@
 """Progress and delivery (PR1-PR7).
 
-A query's checkpoint holds its offsets (written before a batch) and commits (after its output). Outputs are keyed by batch
-id, so a batch that is repeated after a failure replaces what it had written. The ledger is a readable copy of the offsets
+A query's checkpoint holds its offsets (written before a batch) and commits (after its output). Outputs are keyed by query
+and batch id, so a batch that is repeated after a failure replaces what it had written, and nothing else. The ledger is a readable copy of the offsets
 next to the results, from which a new query can start without the old checkpoint.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstream.sources.tables import BATCH, latest_per_key, read_log
+from tillstream.sources.tables import read_log
 from tillstream.streaming.sinks import append_batch
 
 
@@ -35,8 +35,8 @@ def save_offsets(records: DataFrame, group: str, path: str, batch_id: int) -> No
 
 
 def latest_offsets(ledger: DataFrame) -> DataFrame:
-    """Last saved offset per group, topic and partition."""
-    return latest_per_key(ledger, ["group_id", "topic", "partition_id"], [BATCH]).drop(BATCH)
+    """Furthest saved offset per group, topic and partition: batches of several runs have no common order, offsets have."""
+    return ledger.groupBy("group_id", "topic", "partition_id").agg(F.max("topic_offset").alias("topic_offset"))
 
 
 def read_offsets(spark: SparkSession, path: str, topic: str, group: str) -> dict[int, int]:

@@ -1,12 +1,15 @@
 """Sinks (SK1-SK13, DD3).
 
-Tables that a stream writes are upsert logs: each micro-batch has its own directories ``batch_id=<n>`` and overwrites them
-when the batch is repeated, so a batch counts once however often it runs. Readers take the latest row per key
-(``sources.tables.read_dim``). Nothing already written is rewritten by an upsert.
+Tables that a stream writes are upsert logs: each micro-batch of each query has its own directories ``batch_id=<n>/run=<id>``
+and overwrites them when the batch is repeated, so a batch counts once however often it runs. The run is the query's id, which
+its checkpoint keeps: a query with a new checkpoint counts its batches from 0 again, but leaves alone what another has written.
+Every row has the time of its writing, so that readers can take the latest row per key (``sources.tables.read_dim``).
+Nothing already written is rewritten by an upsert.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tillstream.schemas import DIMENSIONS, TOPIC_RECORD
-from tillstream.sources.tables import BATCH, read_dim
+from tillstream.sources.tables import BATCH, RUN, WRITTEN, latest_rows_sql, read_dim
+
+QUERY_ID = "sql.streaming.queryId"  # Spark's name for the id of the query that runs a micro-batch
+TOPIC_ROWS = 1 << 24  # offsets of a file topic that one task has for one millisecond
+TOPIC_START_MS = 1_577_836_800_000  # the year 2020, from which those milliseconds count
 
 
 def as_messages(df: DataFrame, topic: str, key: str | None = None) -> DataFrame:
@@ -33,28 +40,46 @@ def write_topic(messages: DataFrame, servers: str, **extra: str) -> None:
 
 
 def write_topic_files(messages: DataFrame, root: str, mode: str = "append") -> None:
-    """Messages as files, one directory per topic; each task writes its own files, whatever the topic sizes."""
+    """Messages as files, one directory per topic; each task writes its own files, whatever the topic sizes.
+
+    Messages without a partition and an offset get them: the number of the task, and the time of writing followed by the number
+    of the row in its task, so that the offsets of a partition grow from one writing to the next.
+    """
     known = {f.name: f.dataType for f in TOPIC_RECORD.fields}
+    if "offset" not in messages.columns:
+        row = F.monotonically_increasing_id().bitwiseAND(TOPIC_ROWS - 1)
+        now = (time.time_ns() // 1_000_000 - TOPIC_START_MS) * TOPIC_ROWS
+        place = {"partition": F.spark_partition_id(), "offset": F.lit(now).cast("long") + row}
+        messages = messages.withColumns(place)
     rows = messages.select(
         *[(F.col(c) if c in messages.columns else F.lit(None)).cast(t).alias(c) for c, t in known.items()]
     )
     rows.write.mode(mode).partitionBy("topic").parquet(root)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Writes a micro-batch to its own directory of an upsert log (SK4, SK5, SK7, SK9)."""
-    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+def run_of(df: DataFrame) -> str:
+    """The id of the streaming query in whose micro-batch this is called; ``batch`` outside of any."""
+    return df.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "batch"
+
+
+def _stamped(df: DataFrame) -> DataFrame:
+    return df.withColumn(WRITTEN, F.lit(time.time_ns() // 1_000).cast("long"))
+
+
+def append_batch(df: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
+    """Writes a micro-batch of a run to its own directory of an upsert log (SK4, SK5, SK7, SK9)."""
+    _stamped(df).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}/{RUN}={run or run_of(df)}")
 
 
-def append_days(df: DataFrame, path: str, batch_id: int) -> None:
-    """The same for a daily index: a directory per day ``dt``, below it one per micro-batch (SK6, DD3).
+def append_days(df: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
+    """The same for a daily index: a directory per day ``dt``, below it one per micro-batch and run (SK6, DD3).
 
     A reader of one day lists that day only. Rows of a day are brought together first, so that there is no file per task and
     day; Spark splits a large day over several tasks.
     """
-    rows = df.withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", F.col("dt"))
+    rows = _stamped(df).withColumns({BATCH: F.lit(batch_id).cast("long"), RUN: F.lit(run or run_of(df))}).hint("rebalance", F.col("dt"))
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("dt", BATCH).parquet(path)
+    writer.partitionBy("dt", BATCH, RUN).parquet(path)
 
 
 def compact(spark: SparkSession, path: str, target: str, keys: list[str], version: list[str] | None = None) -> None:
@@ -89,10 +114,9 @@ def to_console(stream: DataFrame, rows: int = 1000) -> DataStreamWriter:
 
 
 def create_dimension(spark: SparkSession, name: str, location: str) -> None:
-    """Registers an upsert log of a dimension as a table (SK13)."""
-    schema, _ = DIMENSIONS[name]
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {BATCH} BIGINT) USING parquet PARTITIONED BY ({BATCH}) LOCATION '{location}'")
+    """Registers the current rows of a dimension as a view over its upsert log, which has a batch at least (SK13)."""
+    schema, key = DIMENSIONS[name]
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {latest_rows_sql(location, key, schema.fieldNames())}")
 
 
 def each_batch(*steps: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
