@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from tillstream.operators import dau, dedup, lookups, orders, sales, search, skew, wide
+from tillstream.operators import dau, dedup, lookups, orders, sales, search, wide
 from tillstream.sources.tables import latest_per_key
 
 
@@ -104,24 +104,23 @@ def random_lines(count=1500, hot_share=3, seed=3):
     return lines + [lines[0]] * 100
 
 
-@pytest.mark.parametrize("limit", [10_000, 100, 0])
-def test_allocation_with_and_without_heavy_orders(spark, limit):
+def test_allocation_of_a_heavy_order(spark):
     lines = random_lines() + [(500, 1, 0, 3), (500, 2, 0, 1), (501, 9, 100, 1)]
     heads, details, finals = make_sides(spark, lines)
-    split = wide.allocated_split(heads, details, limit)
-    assert (split.heavy is None) == (limit == 10_000)
-    got = wide.allocated_pairs(heads, details, limit)
+    got = wide.allocated_pairs(heads, details)
     assert {(r.order_id, r.order_detail_id): r.final_detail_c for r in got.collect()} == brute_allocation(lines, finals)
     assert got.count() == len(set(lines))
     paid = {r.order_id: r.paid for r in got.groupBy("order_id").agg(F.sum("final_detail_c").alias("paid")).collect()}
     assert paid == finals
 
 
-@pytest.mark.parametrize("limit", [10_000, 100])
-def test_running_sums(spark, limit):
+@pytest.mark.parametrize("clustered", [False, True])
+def test_running_sums(spark, clustered):
     lines = random_lines(count=900)
+    if clustered:  # ids next to each other, and one far away
+        lines = [(o, 10**6 + k, p, n) for k, (o, _, p, n) in enumerate(lines)] + [(1, 2**61, 5, 1)]
     heads, details, finals = make_sides(spark, lines)
-    got = wide.running_sums(wide.allocated_split(heads, details, limit), blocks=16).collect()
+    got = wide.running_sums(wide.allocated_pairs(heads, details), blocks=16).collect()
     amounts = {(o, i): p * n for o, i, p, n in lines}
     shares = brute_allocation(lines, finals)
     sums, want = {}, {}
@@ -131,14 +130,6 @@ def test_running_sums(spark, limit):
     assert {(r.order_id, r.order_detail_id): (r.origin_sum_c, r.split_sum_c) for r in got} == want
 
 
-def test_heavy_keys(spark):
-    df = spark.createDataFrame([(1,)] * 5 + [(2,)] * 3 + [(None,)] * 9, "k long")
-    assert rows(skew.heavy_keys(df, "k", 3)) == [(1,)]
-    assert skew.heavy_keys(df, "k", 5) is None
-    light, heavy = skew.split_heavy(df, "k", skew.heavy_keys(df, "k", 3))
-    assert light.count() == 12 and heavy.count() == 5
-
-
 def test_match_sides(spark):
     heads = spark.createDataFrame([(1, "a"), (2, "b")], "id long, order_status string")
     lines = spark.createDataFrame([(10, 1), (11, 1), (12, 3), (13, None)], "order_detail_id long, order_id long")

@@ -46,8 +46,8 @@ def earliest_order_ids(orders: DataFrame) -> DataFrame:
 
 def without_users(rows: DataFrame, known_users: DataFrame) -> DataFrame:
     """Rows whose ``user_id`` (a number) is not among the known users (texts)."""
-    known = known_users.select(F.col("user_id").alias("_known"))
-    return rows.join(known, F.col("user_id").cast("string") == F.col("_known"), "left_anti")
+    known = known_users.select(F.col("user_id").try_cast("long").alias("_known"))
+    return rows.join(known, F.col("user_id") == F.col("_known"), "left_anti")
 
 
 def mark_orders(orders: DataFrame, first_ids: DataFrame) -> DataFrame:

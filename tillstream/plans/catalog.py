@@ -13,9 +13,10 @@ from tillstream.plans import flows
 from tillstream.schemas import ORDER_INFO_SOURCE
 from tillstream.sources import shop
 from tillstream.sources.records import json_field, parse_records
-from tillstream.sources.tables import latest_per_key
-from tillstream.streaming.progress import latest_offsets
-from tillstream.streaming.runtime import configure
+from tillstream.sources.tables import latest_per_key, read_log
+from tillstream.streaming.progress import batch_offsets, latest_offsets
+from tillstream.streaming.runtime import configure, shared_folder
+from tillstream.streaming.sinks import append_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,7 +175,7 @@ def order_wide(spark, sf_dir):
 
 @query
 def order_line_outer(spark, sf_dir):
-    heads = shop.table(spark, sf_dir, "orders").where("o_orderkey % 11 <> 0").select(
+    heads = shop.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("order_status")
     )
     lines = shop.order_lines(spark, sf_dir).select(F.col("id").alias("order_detail_id"), "order_id", "sku_id")
@@ -183,7 +184,7 @@ def order_line_outer(spark, sf_dir):
 
 @query
 def order_running_sums(spark, sf_dir):
-    sums = wide.running_sums(flows.allocated(spark, sf_dir))
+    sums = wide.running_sums(flows.allocated_all(spark, sf_dir))
     return sums.select("order_id", "order_detail_id", "amount_c", "final_detail_c", "origin_sum_c", "split_sum_c")
 
 
@@ -204,12 +205,12 @@ def trademark_sales(spark, sf_dir):
 
 @query
 def sales_day_total(spark, sf_dir):
-    return sales.day_total(flows.allocated_all(spark, sf_dir), SALES_DAY)
+    return sales.day_total(flows.allocated_day(spark, sf_dir, SALES_DAY), SALES_DAY)
 
 
 @query
 def sales_by_hour(spark, sf_dir):
-    return sales.sales_by_hour(flows.allocated_all(spark, sf_dir), SALES_DAY)
+    return sales.sales_by_hour(flows.allocated_day(spark, sf_dir, SALES_DAY), SALES_DAY)
 
 
 @query
@@ -273,10 +274,8 @@ def search_total(spark, sf_dir):
 
 @query
 def offset_ledger_resume(spark, sf_dir):
-    """Next offsets of every partition, from a ledger with one entry per micro-batch and partition."""
-    log = shop.topic_log(spark, sf_dir)
-    per_batch = log.groupBy("batch_id", "topic", F.col("partition").alias("partition_id")).agg(
-        (F.max("offset") + 1).alias("topic_offset")
-    )
-    ledger = per_batch.withColumn("group_id", F.lit("event_readers"))
-    return latest_offsets(ledger).select("group_id", "topic", "partition_id", "topic_offset")
+    """Next offsets of every partition, from a ledger that two runs have written, the second from its batch 0 on."""
+    log, path = shop.topic_log(spark, sf_dir), shared_folder(spark, "ledger")
+    for run, batch_id, part in (("one", 0, "batch_id < 10"), ("one", 1, "batch_id between 10 and 19"), ("two", 0, "batch_id > 19")):
+        append_batch(batch_offsets(log.where(part), "event_readers"), path, batch_id, run)
+    return latest_offsets(read_log(spark, path)).select("group_id", "topic", "partition_id", "topic_offset")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.operators import dau, lookups, orders, sales, wide
-from tillstream.operators.skew import Split
 from tillstream.sources import shop
 from tillstream.sources.records import json_field, parse_app_log
 
@@ -29,12 +28,15 @@ def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.with_sku(shop.order_lines(spark, sf_dir), sku_dimension(spark, sf_dir))
 
 
-def allocated(spark: SparkSession, sf_dir: str) -> Split:
-    """Pairs of plain orders and lines with the allocated amount, ordinary and heavy orders apart."""
-    return wide.allocated_split(orders.with_date_parts(shop.orders(spark, sf_dir)), shop.order_lines(spark, sf_dir))
+def allocated_day(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    """The pairs of one day. A line has its order's day, so the day's orders select the lines before anything is summed."""
+    heads, lines = shop.order_heads(spark, sf_dir, day), shop.order_lines(spark, sf_dir)
+    lines = lines.join(heads.select(F.col("id").alias("order_id")), "order_id", "left_semi")
+    return wide.allocated_pairs(orders.with_date_parts(shop.with_totals(heads, lines)), lines)
 
 
 def allocated_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of plain orders and lines with the allocated amount."""
     return wide.allocated_pairs(orders.with_date_parts(shop.orders(spark, sf_dir)), shop.order_lines(spark, sf_dir))
 
 

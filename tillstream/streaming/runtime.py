@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where the split costs a shuffle further up: it only happens where a partition is skewed.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 STREAM_SETTINGS = {
     **SETTINGS,
