@@ -93,9 +93,9 @@ def with_newcomers(orders_stream: DataFrame) -> DataFrame:
 
 
 def flag_arrivals(batch: DataFrame, known_users: DataFrame | None = None) -> DataFrame:
-    """Flagged orders of one micro-batch of ``with_newcomers``: first by batch, then by time."""
+    """Flagged orders of one micro-batch of ``with_newcomers``, each id once: first by batch, then by time."""
     newcomers = batch.where("_newcomer").select("user_id")
     if known_users is not None:
         newcomers = without_users(newcomers, known_users)
-    orders = batch.where("not _newcomer").drop("_newcomer")
+    orders = batch.where("not _newcomer").drop("_newcomer").dropDuplicates(["id"])
     return mark_orders(orders, earliest_order_ids(orders).join(newcomers, "user_id", "left_semi"))
