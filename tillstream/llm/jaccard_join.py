@@ -8,8 +8,8 @@ under any order of all tokens. Here a pair must do so under several orders:
 3. by two more hashes, on the pairs that are left.
 
 What passes is verified exactly. Equal sets are one class before all this. Classes that share their least token under one of
-a few hashes are verified against the least class of that group first, so that large groups of near copies become one
-component at the cost of one comparison for each member; only pairs of different components go through the join.
+a few hashes are compared with one member of that group first, the one with the fewest tokens of its own, so that a large group
+of near copies is not paired up (see ``near``).
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from tillstream.llm.batches import mix, shingles, slices, spaced_words, text_bytes
 from tillstream.llm.components import components, saved
+from tillstream.llm.near import compared, linked, links_by_differences, open_pairs, with_centres, with_facts
 
 SHINGLE = 4
 PERCENT = 85  # of the union that linked sets have in common
@@ -116,18 +117,6 @@ def whole_sets(docs: DataFrame, ids: DataFrame, size: int, percent: int) -> Data
     return chosen.mapInArrow(run, schema).dropDuplicates(["doc_id"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the distinct pairs (a, b) that are linked."""
-    one, two = (sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"s_{x}")) for x in "ab")
-    common = F.size(F.array_intersect("s_a", "s_b")).cast("long")
-    linked = 100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)
-    return pairs.join(two, "b").join(one, "a").where(linked).select("a", "b")
-
-
-def sizes_fit(a: str, b: str, percent: int):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-
 def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Columns doc_id, n_shingles and component_id: the least doc_id that can be reached by links, the document's own included.
 
@@ -146,31 +135,25 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     common = spread.join(often, "token").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("found"))
     total = full.select("doc_id", F.size("first").alias("total"), "keep", "n").dropDuplicates(["doc_id"])
     room = F.col("keep") - (F.col("total") - F.size("found"))
-    shared = common.join(total, "doc_id").where(room > 0)
-    shared = shared.select("doc_id", "n", F.expr("slice(found.token, 1, int(keep - (total - size(found))))").alias("prefix"))
-    shared = saved(shared, "prefixes")
-    sets = saved(whole_sets(docs, shared.select("doc_id"), size, percent), "tokens")
-
-    keys = sets.select("doc_id", "n", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"group_{k}").alias("g")) for k in PIVOTS])).alias("x"))
-    keys = keys.select("doc_id", "n", "x.*")
-    pivot = keys.groupBy("k", "g").agg(F.min(F.struct("doc_id", "n")).alias("p"), F.count("*").alias("many")).where("many > 1")
-    pairs = keys.join(pivot.select("k", "g", "p"), ["k", "g"]).where("doc_id <> p.doc_id").where(sizes_fit("n", "p.n", percent))
-    pairs = pairs.select(F.col("p.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
-    near = saved(verified(pairs, sets, percent), "near")
-    roots = components(near)
-
-    spread = shared.join(roots, shared["doc_id"] == roots["node"], "left")
-    spread = spread.select(shared["doc_id"], "n", F.coalesce("root", shared["doc_id"]).alias("root"), F.explode("prefix").alias("token"))
-    mixed = spread.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-    spread = spread.join(mixed, "token")
-    one, two = (spread.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "n", "root")]) for x in "ab")
-    pairs = one.join(two, "token").where("doc_id_a < doc_id_b and root_a <> root_b").where(sizes_fit("n_a", "n_b", percent))
-    pairs = pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
+    shared = common.join(total, "doc_id").where(room > 0).withColumn("own", F.col("total") - F.size("found"))
+    shared = shared.select("doc_id", "n", "own", F.expr("slice(found.token, 1, int(keep - (total - size(found))))").alias("prefix"))
+    shared = saved(shared.withColumnRenamed("doc_id", "node"), "prefixes")
+    sets = whole_sets(docs, shared.select(F.col("node").alias("doc_id")), size, percent)
+    sets = saved(sets.withColumnRenamed("doc_id", "node"), "tokens")
+
+    keys = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"group_{k}").alias("g")) for k in PIVOTS])).alias("x")
+    keys = sets.select("node", keys).select("node", "x.*").join(shared.select("node", "own"), "node")
+    pivot = keys.groupBy("k", "g").agg(F.min(F.struct("own", "node"))["node"].alias("p"), F.count("*").alias("many")).where("many > 1")
+    groups = keys.join(pivot.select("k", "g", "p"), ["k", "g"]).select("node", "p")
+    near, roots, differences = with_centres(groups, sets, percent)
+    facts = with_facts(shared.withColumnRenamed("own", "rank"), roots, differences)
+    spread = facts.select(F.explode("prefix").alias("token"), "node", "n", "rank", "root", "ps")
+    pairs = open_pairs(spread, ["token"], percent)
     for k in FURTHER:
-        one, two = (sets.select(F.col("doc_id").alias(x), F.col(f"order_{k}").alias(f"o_{x}")) for x in "ab")
+        one, two = (sets.select(F.col("node").alias(x), F.col(f"order_{k}").alias(f"o_{x}")) for x in "ab")
         pairs = pairs.join(two, "b").join(one, "a").where(F.arrays_overlap("o_a", "o_b")).select("a", "b")
-    links = saved(near.union(verified(pairs, sets, percent)), "linked")
-    final = components(links)
+    links = near.union(links_by_differences(differences, roots, percent)).union(linked(compared(pairs, sets), percent))
+    final = components(saved(links, "linked"))
 
     of_class = same.join(final, same["node"] == final["node"], "left")
     of_class = of_class.select("n", "f1", "f2", F.coalesce("root", same["node"]).alias("component"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StructType
 
+from tillstream.llm import near as near_sets
 from tillstream.llm.batches import mix, shingles, slices, spaced_words, text_bytes
 from tillstream.llm.components import components, saved
 
@@ -29,7 +30,8 @@ GAP = 6  # words between repeated units of one passage at most
 REACH = 4
 LONG_PIECE = 32  # a longer piece is cut every half of that
 ROWS, RECALL = 2, 0.999
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 1_000_000  # ids sent to all executors at most; more are joined
+BROADCAST_UNITS = 1_000_000  # the same for repeated units
 
 
 def bands(rows: int = ROWS, percent: int = PERCENT, recall: float = RECALL) -> int:
@@ -146,35 +148,25 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return chosen.join(wanted.select("unit"), "unit", "left_semi").dropDuplicates(["unit"])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    one, two = (sets.select(F.col("unit").alias(x), F.col("tokens").alias(f"s_{x}")) for x in "ab")
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    near = 100 * common >= PERCENT * (F.size("s_a") + F.size("s_b") - common)
-    return pairs.join(two, "b").join(one, "a").where(near).select("a", "b")
-
-
 def near_paragraphs(docs: DataFrame) -> DataFrame:
     """Links (a, b) between distinct paragraphs with Jaccard similarity of ``PERCENT`` or more that share a band.
 
-    Within a band each paragraph is compared with the least one; then those that are not yet in one component, pair by pair.
+    Within a band each paragraph is compared with the one that stands in most places; then those that are not yet in one
+    component are looked at pair by pair (see ``near``).
     """
-    distinct = _units(docs, signatures=True).groupBy("unit").agg(F.min(F.struct("doc_id", "keys")).alias("p"))
-    keyed = distinct.select("unit", "p.doc_id", F.posexplode("p.keys").alias("band", "key"))
-    many = keyed.groupBy("band", "key").agg(F.min("unit").alias("pivot"), F.max("unit").alias("last")).where("pivot <> last")
-    keyed = saved(keyed.join(many, ["band", "key"]), "bands")
-    wanted = keyed.select("doc_id", "unit").distinct()
-    sets = saved(_shingle_sets(docs, wanted), "paragraphs")
-    pairs = keyed.where("unit <> pivot").select(F.col("pivot").alias("a"), F.col("unit").alias("b")).distinct()
-    near = saved(_linked(pairs, sets), "near")
-    roots = components(near).withColumnRenamed("node", "unit")
-    rooted = keyed.join(roots, "unit", "left").select("band", "key", "unit", F.coalesce("root", "unit").alias("root"))
-    mixed = rooted.groupBy("band", "key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band", "key")
-    rooted = rooted.join(mixed, ["band", "key"])
-    one, two = (rooted.select("band", "key", *[F.col(c).alias(f"{c}_{x}") for c in ("unit", "root")]) for x in "ab")
-    rest = one.join(two, ["band", "key"]).where("unit_a < unit_b and root_a <> root_b")
-    # The least unit of a band was compared with all of them already.
-    rest = rest.select(F.col("unit_a").alias("a"), F.col("unit_b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    return near.union(_linked(rest, sets))
+    distinct = _units(docs, signatures=True).groupBy("unit").agg(F.min(F.struct("doc_id", "keys")).alias("p"), F.count("*").alias("places"))
+    keyed = distinct.select("unit", "p.doc_id", (-F.col("places")).alias("rank"), F.posexplode("p.keys").alias("band", "key"))
+    keyed = keyed.repartition("band", "key")  # both sides of the join below keep to it: the bands are shuffled once
+    many = keyed.groupBy("band", "key").agg(F.min(F.struct("rank", "unit"))["unit"].alias("p"), F.count("*").alias("n")).where("n > 1")
+    keyed = saved(keyed.join(many.select("band", "key", "p"), ["band", "key"]).withColumnRenamed("unit", "node"), "bands")
+    wanted = keyed.select("doc_id", F.col("node").alias("unit")).distinct()
+    sets = saved(_shingle_sets(docs, wanted).withColumnRenamed("unit", "node"), "paragraphs")
+    near, roots, differences = near_sets.with_centres(keyed.select("node", "p"), sets, PERCENT)
+    facts = near_sets.with_facts(sets.select("node", F.size("tokens").alias("n")), roots, differences)
+    spread = keyed.select("band", "key", "node", "rank").join(facts, "node")
+    rest = near_sets.open_pairs(spread, ["band", "key"], PERCENT)
+    near = near.union(near_sets.links_by_differences(differences, roots, PERCENT))
+    return near.union(near_sets.linked(near_sets.compared(rest, sets), PERCENT))
 
 
 def repeats(docs: DataFrame, least_span: int = LEAST_SPAN) -> DataFrame:
@@ -194,8 +186,10 @@ def repeats(docs: DataFrame, least_span: int = LEAST_SPAN) -> DataFrame:
     classes = exact.join(roots, "unit", "left").select("unit", F.coalesce("root", "unit").alias("root"), "root", "least", "most")
     classes = classes.toDF("unit", "class", "root", "least", "most").where("root is not null or least <> most")
     spread = classes.groupBy("class").agg(F.min("least").alias("keeper"), F.max("most").alias("most")).where("keeper <> most")
-    repeated = saved(classes.select("unit", "class").join(spread.select("class", "keeper"), "class"), "classes")
-    found = units.join(repeated.select("unit", "keeper"), "unit").select("doc_id", "low", "high", "keeper")
+    repeated = saved(classes.select("unit", "class").join(spread.select("class", "keeper"), "class").select("unit", "keeper"), "classes")
+    if repeated.count() <= BROADCAST_UNITS:
+        repeated = F.broadcast(repeated)
+    found = units.join(repeated, "unit").select("doc_id", "low", "high", "keeper")
     # A document's spans are no more than its words: one row for each document, with its spans in order.
     spans = found.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("low", "high", "keeper"))).alias("spans"))
     schema = StructType([docs.schema["doc_id"]]).add("first_word", LongType()).add("end_word", LongType())
