@@ -1,0 +1,54 @@
+"""Passages that are laid out in short lines, or wrapped differently in each document."""
+
+import random
+
+from tillstream.llm import paragraphs
+
+
+def wrapped(words, width, phase=0):
+    lines, at = [], 0
+    while at < len(words):
+        size = width - phase if at == 0 else width
+        lines.append(" ".join(words[at : at + size]))
+        at += size
+    return "\n".join(lines)
+
+
+def found(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    return paragraphs.repeats(docs).collect()
+
+
+def test_passages_in_lines_of_any_width(spark):
+    """Of two copies in different surroundings each has rows for most of its words, and only for those."""
+    draw = random.Random(12)
+    prose = lambda n: ["".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    layouts = [((4, 0), (4, 0)), ((3, 0), (4, 1)), ((10, 0), (10, 4)), ((12, 0), (9, 5)), ((8, 0), (1000, 0)), ((1, 0), (11, 3))]
+    texts, place, n = {}, {}, 0
+    for one in range(60):
+        passage = prose(60 if one % 2 else 100)
+        for width, phase in layouts[one % len(layouts)]:
+            before, after = prose(draw.randint(0, 30)), prose(draw.randint(0, 30))
+            texts[n] = "\n".join(filter(None, [wrapped(before, 7), wrapped(passage, width, phase), wrapped(after, 5)]))
+            place[n] = len(before), len(before) + len(passage)
+            n += 1
+    texts |= {n + k: wrapped(prose(80), 4) for k in range(20)}
+    held = dict.fromkeys(place, 0)
+    for r in found(spark, texts):
+        low, high = place[r["doc_id"]]
+        assert low <= r["first_word"] and r["end_word"] <= high
+        assert (r["keeper"], r["removed"]) == (r["doc_id"] // 2 * 2, r["doc_id"] % 2 == 1)
+        held[r["doc_id"]] += r["end_word"] - r["first_word"]
+    assert min(held.values()) >= 16
+    assert sum(held.values()) >= 0.7 * sum(b - a for a, b in place.values())
+
+
+def test_whole_texts_in_short_lines(spark):
+    """Copies of texts just long enough, without anything around them, are found from end to end."""
+    draw = random.Random(13)
+    texts = {}
+    for k in range(40):
+        words = ["".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(16 + k % 8)]
+        texts[2 * k], texts[2 * k + 1] = wrapped(words, 4), wrapped(words, 3)
+    rows = found(spark, texts)
+    assert sorted((r["doc_id"], r["first_word"], r["end_word"]) for r in rows) == [(i, 0, len(t.split())) for i, t in texts.items()]

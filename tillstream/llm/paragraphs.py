@@ -2,8 +2,9 @@
 
 Units of comparison are the paragraphs (lines of at least ``LEAST_WORDS`` words) and, so that a passage is found which stands
 inside longer paragraphs, the pieces of them. A piece ends where the hash of two words is the least within ``REACH`` words on
-both sides; a passage that repeats is therefore cut in the same places, whatever stands around it. Equal units are one class,
-counted before anything is compared. Of the distinct paragraphs, MinHash bands select pairs; their exact Jaccard similarity is
+both sides; a passage that repeats is therefore cut in the same places, whatever stands around it and however its lines are
+wrapped. Pieces run across line breaks; where a line starts inside one, its parts of ``LEAST_PIECE`` words or more are units
+too. Equal units are one class, counted before anything is compared. Of the distinct paragraphs, MinHash bands select pairs; their exact Jaccard similarity is
 verified, and the links make components.
 """
 
@@ -61,19 +62,36 @@ class Units:
             same = row[k:] == row[:-k]
             cut[k:] &= ~same | (two[k:] < two[:-k])
             cut[:-k] &= ~same | (two[:-k] <= two[k:])
-        piece = np.flatnonzero(cut | fresh)
+        start = np.ones(n, bool)
+        start[1:] = row[1:] != row[:-1]
+        # Pieces of the whole text, which do not depend on its lines, and those that line starts cut too.
+        units = np.concatenate([self._pieces(cut | start, row, joined=True), self._pieces(cut | fresh, row)])
+        lines = np.stack([low[long], high[long]], 1)
+        units = np.setdiff1d(units[:, 0] * (n + 1) + units[:, 1], lines[:, 0] * (n + 1) + lines[:, 1])
+        self.low = np.concatenate([lines[:, 0], units // (n + 1)])
+        self.high = np.concatenate([lines[:, 1], units % (n + 1)])
+        self.paragraph = np.arange(len(self.low)) < len(lines)
+        self.row = row[self.low]
+        self.hash = self._hashes(n)
+
+    def _pieces(self, cut: np.ndarray, row: np.ndarray, joined: bool = False) -> np.ndarray:
+        """Rows (low, high) of the pieces between cuts; with ``joined`` those too short to be compared go with a neighbour."""
+        n, piece = len(cut), np.flatnonzero(cut)
         size = np.diff(np.append(piece, n))
         more = np.where(size > LONG_PIECE, (size - 1) // (LONG_PIECE // 2), 0)  # words that repeat have no local minima
         steps = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
         piece = np.sort(np.concatenate([piece, np.repeat(piece, more) + steps * (LONG_PIECE // 2)]))
-        end = np.append(piece[1:], n)
-        whole = fresh[piece] & np.append(fresh[piece[1:]], True)
-        inside = (end - piece >= LEAST_PIECE) & ~(whole & (end - piece >= LEAST_WORDS))
-        self.low = np.concatenate([low[long], piece[inside]])
-        self.high = np.concatenate([high[long], end[inside]])
-        self.paragraph = np.arange(len(self.low)) < long.sum()
-        self.row = row[self.low]
-        self.hash = self._hashes(n)
+        both = np.stack([piece, np.append(piece[1:], n)], 1)
+        short = both[:, 1] - both[:, 0] < LEAST_PIECE
+        out = [both[~short]]
+        if joined and n:
+            at = np.flatnonzero(short)
+            back, ahead = np.maximum(at - 1, 0), np.minimum(at + 1, len(both) - 1)
+            back = np.where(row[both[back, 0]] == row[both[at, 0]], back, at)
+            ahead = np.where((back == at) & (row[both[ahead, 0]] == row[both[at, 0]]), ahead, at)
+            wide = np.stack([both[back, 0], both[ahead, 1]], 1)
+            out.append(wide[wide[:, 1] - wide[:, 0] >= LEAST_PIECE])
+        return np.concatenate(out)
 
     def _hashes(self, n: int) -> np.ndarray:
         root = 0x9E3779B97F4A7C15
