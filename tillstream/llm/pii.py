@@ -51,9 +51,11 @@ DIGIT_WORD = rf"(?:{_words(SPELLED)})"
 DIGITS_SPELLED = re.compile(rf"(?i)\b(?=[zeondtfsuvcqh]){DIGIT_WORD}(?:[ ,.\t-]{{1,3}}{DIGIT_WORD}){{{LEAST_SPELLED - 1},}}\b")
 ONE_DIGIT = re.compile(rf"(?i){DIGIT_WORD}")
 PLUS_WORD = re.compile(rf"(?i)\bplus[ -]{{1,3}}(?=[0-9]|{DIGIT_WORD}\b)")
-# at and dot in brackets or bare. A bare one counts only inside a chain "name at name dot name".
-BRACKETED_AT = re.compile(r"(?i)[ \t]{0,3}[(\[{<][ \t]{0,2}(?:at|@|arroba|ät)[ \t]{0,2}[)\]}>][ \t]{0,3}")
-BRACKETED_DOT = re.compile(r"(?i)[ \t]{0,3}[(\[{<][ \t]{0,2}(?:dot|\.|punkt|point|punto)[ \t]{0,2}[)\]}>][ \t]{0,3}")
+# at and dot in brackets or bare. A bare one counts only inside a chain "name at name dot name", or "name at name.name" if
+# that does not read like a web site (see ``plain_site``).
+OPEN, CLOSE = r"[(\[{<][ \t]{0,2}", r"[ \t]{0,2}[)\]}>]"
+BRACKETED = {"@": rf"{OPEN}(?:at|@|arroba|ät){CLOSE}", ".": rf"{OPEN}(?:dot|\.|punkt|point|punto){CLOSE}"}
+BRACKETED = {new: (re.compile(rf"(?i){core}"), re.compile(rf"(?i)[ \t]{{0,3}}{core}[ \t]{{0,3}}")) for new, core in BRACKETED.items()}
 LABEL = r"[A-Za-z0-9_%+-]{1,64}"
 CHAIN = re.compile(
     rf"(?i)(?<![A-Za-z0-9._%+-]){LABEL}(?:(?:\.|[ \t]{{1,3}}dot[ \t]{{1,3}}){LABEL}){{0,5}}"
@@ -62,9 +64,20 @@ CHAIN = re.compile(
 )
 DOTTED_NUMBER = re.compile(r"(?i)(?<![0-9.])[0-9]{1,3}(?:(?:\.|[ \t]{1,3}dot[ \t]{1,3})[0-9]{1,3}){3}(?![0-9])")
 DOT_WORD = re.compile(r"(?i)[ \t]{1,3}dot[ \t]{1,3}")
-# Signs that a text may hold a disguise at all; the transducers run on such texts only, and leave all others as they are.
-HINT = re.compile(rf"[{INVISIBLE}{AT_SIGNS}{STOPS}{''.join(LOOKALIKES)}！-～٠-٩۰-۹०-९\U0001d400-\U0001d7ff]")
-HINT_WORDS = re.compile(r"(?i)[ \[({<]dot[ \])}>]|[\[({<][ \t]{0,2}(?:at|@|\.|punkt|point|punto|arroba|ät)[ \t]{0,2}[\])}>]| @|@ ")
+# What every match of CHAIN holds, and what every match of DOTTED_NUMBER holds that has a dot word: quicker to look for.
+AT_PLACE = re.compile(r"(?i)(?:@|[ \t]at[ \t])[ \t]{0,3}[A-Za-z0-9-]{1,63}(?:\.|[ \t]{1,3}dot[ \t]{1,3})[A-Za-z0-9-]")
+NUMBER_PLACE = re.compile(r"(?i)[0-9][ \t]{1,3}dot[ \t]{1,3}[0-9]")
+# Words that stand before "at" and the name of a site; none of them is a usual name of a mailbox. Fixed values.
+BEFORE_SITES = frozenset(
+    "a an and or but not is are was were be been being am it its this that these those here there where who what which he she "
+    "they we you i us me him her them ours mine now then just only also even still again more most much all both each back up "
+    "out over down in on off away together online live lives living lived located available hosted look looks looked looking "
+    "see sees saw seen visit visits visited visiting read reads reading find finds finding found get gets got buy buys bought "
+    "sell sells sold book booked order ordered start starts started end ends ended stop stops stopped arrive arrives arrived "
+    "meet meets met stay stays stayed work works worked working published posted listed described documented registered "
+    "register sign signed login log logged download downloads downloaded click check checked shown shows view viewed viewing "
+    "apply join joined subscribe subscribed browse browsing shop shopping go goes going went come comes came".split()
+)
 
 
 def luhn(digits: str) -> bool:
@@ -151,35 +164,57 @@ def plain_character(char: str) -> str:
     return wide if len(wide) == 1 and wide.isascii() and wide.isprintable() else char
 
 
+def digit_of(word: str) -> str:
+    """The digit that a word matched by DIGIT_WORD spells; matching without case also takes these three for i and s."""
+    return SPELLED[re.sub("[ıİ]", "i", word).replace("ſ", "s").lower()]
+
+
+def plain_site(text: str, m: re.Match) -> bool:
+    """Whether a match of CHAIN with a bare "at" and without any disguise speaks of a web site, a number or a sentence's end."""
+    before = re.split(r"\.", text[m.start() : m.start("at")])[-1].lower()
+    labels = text[m.end("at") : m.end()].split(".")
+    last = labels[-1]
+    return (
+        before in BEFORE_SITES
+        or (m.start() > 0 and text[m.start() - 1] in "'’")
+        or labels[0].lower() == "www"
+        or not (len(last) >= 2 and last.isalpha() and (last.islower() or last.isupper()))
+        or re.match(r"/|:[0-9]", text[m.end() : m.end() + 2]) is not None
+    )
+
+
 def normalise(text: str) -> Mapped | None:
-    """The text without disguises, or None if there is none in it."""
-    look = not text.isascii() and HINT.search(text)
-    if not (look or HINT_WORDS.search(text) or DIGITS_SPELLED.search(text)):
-        return None
+    """The text without disguises, or None if there is none in it. Each transducer looks for its own passages in every text."""
     out = Mapped(text)
-    if look:
-        out.rewrite([(m.start(), m.end(), new) for m in re.finditer(r"[^\x00-\x7f]", text) if (new := plain_character(m[0])) != m[0]])
+    if not text.isascii():
+        plain = {c: new for c in set(text) if c > "\x7f" and (new := plain_character(c)) != c}
+        if plain:
+            out.rewrite([(m.start(), m.end(), plain[m[0]]) for m in re.finditer(f"[{''.join(map(re.escape, plain))}]", text)])
     changes = []
     for m in DIGITS_SPELLED.finditer(out.text):
         at = m.start()
         for word in ONE_DIGIT.finditer(out.text, m.start(), m.end()):
             if changes and at > m.start():
                 changes.append((at, word.start(), ""))
-            changes.append((word.start(), word.end(), SPELLED[word[0].lower()]))
+            changes.append((word.start(), word.end(), digit_of(word[0])))
             at = word.end()
     out.rewrite([c for c in changes if c[0] < c[1]])
     out.rewrite([(m.start(), m.end(), "+") for m in PLUS_WORD.finditer(out.text)])
-    out.rewrite([(m.start(), m.end(), "@") for m in BRACKETED_AT.finditer(out.text)])
-    out.rewrite([(m.start(), m.end(), ".") for m in BRACKETED_DOT.finditer(out.text)])
+    for new, (core, pattern) in BRACKETED.items():
+        if core.search(out.text):
+            out.rewrite([(m.start(), m.end(), new) for m in pattern.finditer(out.text)])
     changes = []
-    for m in CHAIN.finditer(out.text):
+    for m in CHAIN.finditer(out.text) if AT_PLACE.search(out.text) else ():
         a, b = m.span("at")
+        first, last = out.source(m.start(), m.end())
+        if "@" not in m["at"] and not DOT_WORD.search(m[0]) and text[first:last] == m[0] and plain_site(out.text, m):
+            continue
         changes += [(d.start(), d.end(), ".") for d in DOT_WORD.finditer(out.text, m.start(), a)]
         changes.append((a, b, "@"))
         changes += [(d.start(), d.end(), ".") for d in DOT_WORD.finditer(out.text, b, m.end())]
     out.rewrite([c for c in changes if out.text[c[0] : c[1]] != c[2]])
-    numbers = [DOT_WORD.finditer(out.text, *m.span()) for m in DOTTED_NUMBER.finditer(out.text)]
-    out.rewrite([(d.start(), d.end(), ".") for found in numbers for d in found])
+    numbers = DOTTED_NUMBER.finditer(out.text) if NUMBER_PLACE.search(out.text) else ()
+    out.rewrite([(d.start(), d.end(), ".") for m in numbers for d in DOT_WORD.finditer(out.text, *m.span())])
     return out if out.text != text else None
 
 
