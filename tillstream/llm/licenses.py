@@ -54,6 +54,9 @@ BINDING = {"OR": 1, "AND": 2, "WITH": 3}
 CERTAIN, NOTICE, MENTION = 0.95, 0.8, 0.6
 # Bytes of words: digits, a-z and all of other scripts; A-Z become a-z, every other byte becomes a space.
 FOLD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
+TOKEN = re.compile(r"[()]|[^\s()]+")
+LINE = re.compile(rb"[^\r\n]*")
+FIRST_READ = 2000  # bytes of a line that are looked at first; more if the expression goes on
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 SCHEMA = (
     "n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, "
@@ -61,40 +64,59 @@ SCHEMA = (
 )
 
 
-def postfix(expression: str) -> list[str]:
-    """The expression's identifiers and operators in postfix order; ValueError if it is not an expression."""
-    out, stack, operand = [], [], False
-    for token in re.findall(r"[()]|[^\s()]+", expression):
+def parsed(tokens: list[str]) -> tuple[list[str], int, str, int]:
+    """The longest expression that the tokens begin with, in postfix order, and the number of its tokens (0 if there is none).
+
+    Also why no more was taken ("" if all was), and at which token that was found: what comes after it has no part in this.
+    """
+    out, stack, operand, depth = [], [], False, 0
+    used = 0
+    complete: tuple[int, list] = (0, [])  # of the last place without anything open: how much was out, and the stack
+
+    def result(why: str, at: int):
+        return out[: complete[0]] + complete[1][::-1], used, why, at
+
+    for at, token in enumerate(tokens):
         upper = token.upper()
         if upper in BINDING:
             if not operand:
-                raise ValueError(f"operator {token} without a left side")
+                return result(f"operator {token} without a left side", at)
             while stack and stack[-1] != "(" and BINDING[stack[-1]] >= BINDING[upper]:
                 out.append(stack.pop())
             stack.append(upper)
             operand = False
         elif token == "(":
             if operand:
-                raise ValueError("parenthesis after an identifier")
+                return result("parenthesis after an identifier", at)
             stack.append(token)
+            depth += 1
         elif token == ")":
             if not operand:
-                raise ValueError("empty parentheses")
-            while stack and stack[-1] != "(":
+                return result("empty parentheses", at)
+            if not depth:
+                return result("parenthesis that was not opened", at)
+            while stack[-1] != "(":
                 out.append(stack.pop())
-            if not stack:
-                raise ValueError("parenthesis that was not opened")
             stack.pop()
+            depth -= 1
         elif re.fullmatch(r"[A-Za-z0-9.+:-]*[A-Za-z0-9+]", token):
             if operand:
-                raise ValueError("two identifiers without an operator")
+                return result("two identifiers without an operator", at)
             out.append(token.lower())
             operand = True
         else:
-            raise ValueError(f"no identifier: {token}")
-    if not operand or "(" in stack:
-        raise ValueError("the expression is not complete")
-    return out + stack[::-1]
+            return result(f"no identifier: {token}", at)
+        if operand and not depth:
+            complete, used = (len(out), list(stack)), at + 1
+    return result("" if tokens and used == len(tokens) else "the expression is not complete", len(tokens))
+
+
+def postfix(expression: str) -> list[str]:
+    """The expression's identifiers and operators in postfix order; ValueError if it is not an expression."""
+    parts, _, why, _ = parsed(TOKEN.findall(expression))
+    if why:
+        raise ValueError(why)
+    return parts
 
 
 def permissive(parts: list[str]) -> bool:
@@ -115,16 +137,20 @@ def permissive(parts: list[str]) -> bool:
 
 
 def expression_after(raw: bytes, place: int) -> list[str]:
-    """The longest expression at the start of the line's rest from byte ``place``, in postfix order; else nothing."""
-    line = re.match(rb"[^\r\n]{0,2000}", raw[place : place + 2000])[0].decode("utf8", "ignore")
-    tokens = re.findall(r"[()]|[^\s()]+", line.lstrip(" \t:=\"'"))
-    tokens = [t.rstrip(".,;\"'*/-") if t not in "()" else t for t in tokens]
-    for n in range(len(tokens), 0, -1):
-        try:
-            return postfix(" ".join(tokens[:n]))
-        except ValueError:
-            continue
-    return []
+    """The longest expression at the start of the line's rest from byte ``place``, in postfix order; else nothing.
+
+    The line is read as far as the expression reaches: twice as much each time that its end may lie beyond what was read.
+    """
+    size = FIRST_READ
+    while True:
+        line = LINE.match(raw, place, place + size)[0]
+        tokens = TOKEN.findall(line.decode("utf8", "ignore").lstrip(" \t:=\"'"))
+        tokens = [t for t in (t if t in "()" else t.rstrip(".,;\"'*/-") for t in tokens) if t]
+        parts, _, why, at = parsed(tokens)
+        whole = len(line) < size or place + size >= len(raw)
+        if whole or (why and at < len(tokens) - 1):  # the last token may be cut
+            return parts
+        size *= 2
 
 
 @cache
