@@ -1,0 +1,54 @@
+"""Benchmark items of few words, and items in scripts without spaces."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tillstream.llm import decontaminate
+from tillstream.llm.batches import text_bytes
+
+HAN = "北京是中华人民共和国的首都也是全国的政治文化中心"
+
+
+def symbols_of(text):
+    finder = decontaminate.benchmark_words()
+    raw, bounds = text_bytes(pa.array([text, None, text]))
+    starts, ends, firsts = decontaminate.symbols(finder, raw, bounds)
+    found = [raw[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
+    assert firsts.tolist() == [0, len(found) // 2, len(found) // 2, len(found)] and found[: len(found) // 2] == found[len(found) // 2 :]
+    return [w.decode() for w in found[: len(found) // 2]]
+
+
+def test_symbols():
+    draw = random.Random(15)
+    one = "[\u0e00-\u109f\u3005-\u3007\u3040-\u312f\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]"
+    pattern = re.compile(rf"{one}|(?:(?!{one})[0-9A-Za-z\u0080-\U0010ffff])+")
+    for _ in range(3000):
+        text = "".join(draw.choices("ab1é– .。中国のไทย𠀀🙂々", k=draw.randint(0, 20)))
+        assert symbols_of(text) == pattern.findall(text), text
+
+
+@pytest.mark.parametrize(
+    ("item", "text", "distance"),
+    [
+        ("the Quick fox", "see the quick, fox run", 0), ("two words", "just two words", 0), ("the quick fox", "the quick red fox", None),
+        ("two words", "two other words", None), (HAN, f"据说{HAN}。", 0), (HAN, f"据说{HAN[:10]}x{HAN[11:]}很大", 1), ("中国", "在中国人", 0),
+        ("中国", "在中人国", None), ("สวัสดีครับ", "เขาพูดว่าสวัสดีครับแล้ว", 0), ("日本の首都", "それは日本の首都です", 0), ("the", "the end", None),
+    ],
+)
+def test_items(item, text, distance):
+    block = decontaminate.Items([7], [item], 0.8, 0.99)
+    finder = decontaminate.benchmark_words()
+    raw, bounds = text_bytes(pa.array([text]))
+    starts, ends, firsts = decontaminate.symbols(finder, raw, bounds)
+    found = decontaminate.matches(finder.hashes(raw, starts, ends), np.asarray(firsts), block)
+    assert [m[2] for m in found] == ([] if distance is None else [distance])
+
+
+def test_short_leaks(spark):
+    docs = spark.createDataFrame([(1, "see the quick fox"), (2, f"据说{HAN}很大"), (3, "nothing here")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "The quick fox."), (2, HAN), (3, "the")], "item_id bigint, text string")
+    assert sorted(map(tuple, decontaminate.leaks(docs, items).collect())) == [(1, 1, 0, 1.0, 1, 4), (2, 2, 0, 1.0, 2, 2 + len(HAN))]

@@ -1,7 +1,7 @@
 """Benchmark decontamination: item-sized windows embedded so that edit distance becomes Hamming distance.
 
 The symbols are words (digits, letters a-z in either case, characters of other scripts), so case and punctuation do not
-count. A window matches an item of ``n`` words within ``floor(n * (1 - similarity))`` word edits. A random walk reads each
+count. In scripts that are written without spaces each character is a symbol. A window matches an item of ``n`` words within ``floor(n * (1 - similarity))`` word edits. A random walk reads each
 sequence: at every step it emits the symbol it stands on, and a random bit of step and symbol decides whether it moves on.
 Two sequences at a small edit distance fall into step again, so their outputs differ in few places, and equal samples of the
 outputs are likely. Samples are drawn again and again until the target recall is reached; equal ones are verified exactly.
@@ -21,7 +21,13 @@ SIMILARITY = 0.8
 RECALL = 0.99
 SAMPLED = 2  # positions in a sample
 MOST_REPEATS = 64
-LEAST_WORDS = 5  # shorter items are no evidence: they match nothing
+LEAST_WORDS = 2  # an item of one symbol is no passage: it matches nothing
+# Scripts without spaces between words: South-East Asian ones and Tibetan, kana, bopomofo, Han, Yi.
+UNSPACED = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x3005, 0x3007),
+    (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF), (0xA980, 0xA9FF),
+    (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF),
+)
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 20_000_000  # items that are sent to the executors at once; more are taken in blocks
 SEED = 17
 
@@ -30,6 +36,25 @@ def benchmark_words() -> Words:
     return Words(byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)))
 
 
+def symbols(finder: Words, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each symbol, and for each row the number of symbols before it: words, cut around each character of ``UNSPACED``."""
+    starts, ends, firsts = finder.find(raw, bounds)
+    at = np.flatnonzero(raw >= 0xE0)  # first bytes of characters of three or four bytes; all of ``UNSPACED`` are such
+    if not len(at):
+        return starts, ends, firsts
+    b = [raw[np.minimum(at + k, len(raw) - 1)].astype(np.int64) & 0x3F for k in range(4)]
+    four = raw[at] >= 0xF0
+    code = np.where(four, (b[0] & 7) << 18 | b[1] << 12 | b[2] << 6 | b[3], (b[0] & 15) << 12 | b[1] << 6 | b[2])
+    lows, highs = np.asarray(UNSPACED).T
+    part = np.searchsorted(lows, code, "right") - 1
+    single = (part >= 0) & (code <= highs[part])
+    at, size = at[single], np.where(four, 4, 3)[single]
+    cuts = np.union1d(at, at + size)
+    cuts = cuts[~np.isin(cuts, starts) & ~np.isin(cuts, ends)]
+    starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
+    return starts, ends, np.searchsorted(starts, bounds)
+
+
 def allowed_edits(n: int, similarity: float) -> int:
     return int(n * (1 - similarity) + 1e-9)
 
@@ -80,6 +105,7 @@ def repeats_needed(items: list[np.ndarray], similarity: float, recall: float) ->
 
     Measured on up to 100 items and random edits; the walks over other items follow the same law.
     """
+    items = [item for item in items if allowed_edits(len(item), similarity)]  # equal windows have equal samples
     if not items:
         return 1
     draw = np.random.default_rng(SEED)
@@ -118,7 +144,7 @@ class Items:
     def __init__(self, ids: list, texts: list[str], similarity: float, recall: float):
         finder = benchmark_words()
         raw, bounds = text_bytes(pa.array(texts, pa.string()))
-        starts, ends, firsts = finder.find(raw, bounds)
+        starts, ends, firsts = symbols(finder, raw, bounds)
         hashes = finder.hashes(raw, starts, ends)
         every = [hashes[a:b] for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
         kept = [i for i, w in enumerate(every) if len(w) >= LEAST_WORDS]
@@ -211,7 +237,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     """Pairs (doc_id, item_id) whose document holds a passage within the allowed word edits of the item.
 
     ``distance`` is the least found, ``similarity`` is 1 - distance / words of the item, and the passage reaches from word
-    ``first_word`` to before ``end_word``. Null and empty texts and items of fewer than ``LEAST_WORDS`` words match nothing.
+    ``first_word`` to before ``end_word``, in symbols. Items too short for an edit match equal passages only. Null and empty texts
+    and items of fewer than ``LEAST_WORDS`` words match nothing.
     A repeated document row gives its pairs again. No row is shuffled: the items go to the texts, block by block.
     """
     schema = StructType([docs.schema["doc_id"], benchmark.schema["item_id"]])
@@ -226,7 +253,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
             for whole in batches:
                 for batch in slices(whole):
                     raw, bounds = text_bytes(batch.column("text"))
-                    starts, ends, firsts = finder.find(raw, bounds)
+                    starts, ends, firsts = symbols(finder, raw, bounds)
                     found = matches(finder.hashes(raw, starts, ends), firsts, items)
                     if found:
                         row, item, distance, low, high = zip(*found, strict=True)
