@@ -1,0 +1,270 @@
+"""Prefix tries, SimHash classes and spelling variants against plain versions, whole and on made-up rows."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tillstream.llm import prefix_trie, simhash, spelling
+from tillstream.llm.queries import QUERIES, documents
+
+
+def folded(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+# Prefix tries
+
+
+def plain_trie(rows):
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            turns[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    for own in turns.values():
+        own.sort(key=lambda t: t[:2])
+    rebuilt = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        rebuilt[c] = [t[2:] for t in turns.get(c - c % 5, [])[:h] + own[h:]]
+    members, ending = defaultdict(list), defaultdict(list)
+    for c, way in rebuilt.items():
+        for d in range(len(way) + 1):
+            members[tuple(way[:d])].append(c)
+        ending[tuple(way)].append(c)
+    kids = defaultdict(set)
+    for node in members:
+        if node:
+            kids[node[:-1]].add(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = sum(leaves[k] for k in kids[node]) or 1
+        own = (len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0
+        saved[node] = own + sum(saved[k] for k in kids[node])
+    rows = [
+        (
+            min(m), len(node), min(members[node[:-1]]) if node else None, len(m), len(kids[node]), leaves[node], saved[node],
+            hashlib.sha256(",".join(map(str, sorted(ending[node]))).encode()).hexdigest(),
+        )
+        for node, m in members.items()
+    ]
+    return sorted(rows, key=str)
+
+
+def trie_rows(df):
+    return sorted((tuple(r) for r in df.select(*prefix_trie.NODE).collect()), key=str)
+
+
+def test_trie_of_the_table(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert trie_rows(QUERIES["op11_prefix_trie"](spark, sf_dir)) == plain_trie(rows)
+
+
+def conversations(seed=3):
+    r = random.Random(seed)
+    long = [("user" if i % 2 else "assistant", f"line {i} é") for i in range(16)]
+    rows = []
+    for c in range(60):
+        n = r.choice([1, 2, 3, 8, 14, 16])
+        way = long[:n] if c % 3 else [(r.choice("ab"), r.choice(["x", "yy", ""])) for _ in range(n)]
+        if c % 7 == 0:
+            way = way[: n // 2] + [("user", f"own {c % 14}")] + way[n // 2 :]
+        rows += [(c, t, *turn) for t, turn in enumerate(way)]
+    rows += [(200, i, *t) for i, t in enumerate(long)] + [(203, i, *t) for i, t in enumerate(long)]
+    rows += [(300, None, "user", "first"), (300, 0, None, None), (300, 1, "", ""), (None, 1, "user", "no id"), (300, None, "user", "first")]
+    rows += [(402, 0, "user", "gone")]  # borrows from an absent conversation: turnless if it borrows any
+    return rows
+
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+
+
+@pytest.mark.parametrize(("most", "piece"), [(50_000, 1024), (10, 1024), (8, 7)])
+def test_bursting_and_pieces(spark, most, piece):
+    rows = conversations()
+    table = spark.createDataFrame(rows, SCHEMA).withColumns({"box": F.lit("clash"), "pos": F.lit(1)}).repartition(5)
+    assert trie_rows(prefix_trie.trie(table, most, piece)) == plain_trie(rows)
+
+
+def test_trie_of_nothing(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert trie_rows(prefix_trie.trie(none)) == [] and trie_rows(prefix_trie.trie(none.union(spark.createDataFrame([(None, 1, "a", "b")], SCHEMA)))) == []
+
+
+def test_packed_ids(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "PACKED", 100)
+    table = spark.range(1, 3000).selectExpr("id as conv_id", "if(id % 3 = 0, 'a', 'b') as place").repartition(7)
+    found = {r["place"]: r["ends"] for r in prefix_trie.ends(table).collect()}
+    for place, rest in (("a", (0,)), ("b", (1, 2))):
+        assert found[place] == hashlib.sha256(",".join(str(i) for i in range(1, 3000) if i % 3 in rest).encode()).hexdigest()
+
+
+# SimHash
+
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", folded(text))
+    runs = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(prints):
+    """Least id reachable, from (id, fingerprint)."""
+    ids = defaultdict(list)
+    for i, f in prints:
+        ids[f].append(i)
+    distinct, root = sorted(ids), {}
+
+    def find(f):
+        while root.get(f, f) != f:
+            f = root[f]
+        return f
+
+    for n, f in enumerate(distinct):
+        for g in distinct[:n]:
+            if (f ^ g).bit_count() <= 2:
+                root[find(f)] = find(g)
+    least = {}
+    for f in distinct:
+        known = [i for i in ids[f] if i is not None]
+        least[find(f)] = min([*known, *([least[find(f)]] if least.get(find(f)) is not None else [])], default=None)
+    return [(i, f"{f:016x}", least[find(f)]) for i, f in prints]
+
+
+def test_simhash_of_the_table(spark, sf_dir):
+    prints = [(r["doc_id"], plain_fingerprint(r["text"])) for r in documents(spark, sf_dir).collect()]
+    found = QUERIES["op12_simhash"](spark, sf_dir).select("doc_id", "fingerprint", "component_id").collect()
+    assert sorted(map(tuple, found)) == sorted(plain_groups(prints))
+
+
+def test_fingerprints_in_blocks():
+    text = ("One two\tTHREE  four five\x0b six é " * 50).encode()
+    for size in (1, 7, 64, 1 << 20):
+        assert simhash.fingerprint(text, size) == plain_fingerprint(text.decode())
+    assert [simhash.fingerprint(t) for t in (None, b"", b" \n")] == [0, 0, 0]
+    assert simhash.fingerprint(b"A b") == plain_fingerprint("a b")
+
+
+def test_links_in_a_crowd(spark, monkeypatch):
+    r = random.Random(5)
+    prints = []
+    for _ in range(4):
+        middle = r.getrandbits(64)
+        free = r.sample(range(64), 12)
+        for _ in range(90):
+            prints.append(middle ^ sum(1 << b for b in r.sample(free, r.choice([0, 1, 2, 3, 4]))))
+    prints += [0, (1 << 64) - 1, 3 << 62] + [r.getrandbits(64) for _ in range(200)]
+    signed = sorted({f - (f >> 63 << 64) for f in prints})
+    table = spark.createDataFrame([(f,) for f in signed], "f bigint")
+    for crowd in (2, 16, 1000):
+        monkeypatch.setattr(simhash, "CROWD", crowd)
+        roots = {x["node"]: x["root"] for x in simhash.components(simhash.links(table)).collect()}
+        want = {f: i for i, f in enumerate(signed)}
+        groups = {i: c for i, _, c in plain_groups([(want[f], f & (1 << 64) - 1) for f in signed])}
+        same = defaultdict(set)
+        for f in signed:
+            same[roots.get(f, f)].add(groups[want[f]])
+        assert all(len(g) == 1 for g in same.values()) and len(same) == len(set(groups.values()))
+
+
+def test_simhash_edges(spark):
+    prose = "the quick brown fox jumps over the lazy dog and then it sleeps for a while under the old tree"
+    rows = [(1, None), (2, ""), (3, " \t"), (5, prose), (4, prose), (None, prose), (None, "alone without an id"), (7, "a"), (7, "other text"), (8, "x y " * 300_000)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"f": F.lit("clash"), "size": F.lit(1)})
+    found = simhash.near_copies(table).collect()
+    want = Counter(plain_groups([(i, plain_fingerprint(t)) for i, t in rows]))
+    assert Counter(tuple(r) for r in found) == want
+    assert simhash.near_copies(table.limit(0)).count() == 0
+
+
+# Spelling variants
+
+
+def plain_words(rows):
+    counts = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = folded(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    i = 0
+    while i < len(a) and a[i] == b[i]:
+        i += 1
+    return a != b and (a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else len(b) - len(a) == 1 and a[i:] == b[i + 1 :])
+
+
+def plain_variants(words):
+    forms, out = {}, {}
+    for w, n in words.items():
+        near = [v for v in words if abs(len(v) - len(w)) <= 1 and one_edit(v, w)]
+        best = min(near, key=lambda v: (-words[v], v), default=None)
+        forms[w] = best if best is not None and words[best] >= 5 * n else None
+        out[w] = len(near)
+    rows = []
+    for w, n in words.items():
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        rows.append((w, forms[w], root, n, out[w], words[forms[w]] if forms[w] else None))
+    return sorted(rows)
+
+
+COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def variant_rows(df):
+    return sorted(tuple(r) for r in df.select(*COLUMNS).collect())
+
+
+def test_spelling_of_the_table(spark, sf_dir):
+    words = plain_words([(r["doc_id"], r["text"]) for r in documents(spark, sf_dir).collect()])
+    assert len(words) > 500
+    assert variant_rows(QUERIES["op13_spelling"](spark, sf_dir)) == plain_variants(words)
+
+
+def made_up(seed=9):
+    r = random.Random(seed)
+    bases = ["".join(r.choice("abcé") for _ in range(r.randint(6, 9))) for _ in range(60)] + ["aaaaaa", "aaaaaaa", "aaaaaaaa", "ababab", "bababab"]
+    words = set(bases)
+    for w in bases:
+        for _ in range(12):
+            at, c = r.randrange(len(w)), r.choice("abcéÿ")
+            words.add(r.choice([w[:at] + w[at + 1 :], w[:at] + c + w[at + 1 :], w[:at] + c + w[at:]]))
+    return {w: r.choice([5, 6, 24, 25, 125, 700]) for w in words if len(w) >= 6}
+
+
+@pytest.mark.parametrize("most", [20_000, 30, 1])
+def test_short_lists(spark, most):
+    words = made_up()
+    table = spark.createDataFrame(list(words.items()), "word string, n bigint")
+    near = {r["word"]: (r["n_near"], r["form"], r["form_n"]) for r in spelling.near_words(table, most).collect()}
+    for w in words:
+        found = [v for v in words if one_edit(v, w)]
+        best = min(found, key=lambda v: (-words[v], v), default=None)
+        assert near.get(w, (0, None, None)) == (len(found), best, words.get(best)), w
+
+
+def test_spelling_edges(spark):
+    forms = ["colour"] * 3000 + ["color"] * 50 + ["colours"] * 500 + ["coloour"] * 6 + ["colourss"] * 90 + ["colourssé"] * 7 + ["Straße"] * 9 + ["STRAßE"] * 2
+    rows = [(1, " ".join(forms)), (2, None), (3, ""), (None, "harbour " * 6), (None, "harbour " * 6), (4, "x" * 100_000), (5, "colouré×÷ 12345 " * 7)]
+    rows += [(k, "y" * 50_000 + " " + "y" * 50_001) for k in range(6, 13)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"word": F.lit("clash"), "n": F.lit(1)}).repartition(3)
+    got = variant_rows(spelling.variants(table))
+    assert got == plain_variants(plain_words(rows))
+    roots = {r[0]: r[2] for r in got}
+    assert roots["colourssé"] == "colour" and roots["coloour"] == "colour"
+    assert variant_rows(spelling.variants(table.limit(0))) == []

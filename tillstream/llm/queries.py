@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe, decontaminate, jaccard_join, language, licenses, mixing, order_minhash, paragraphs, pii, quality
+from tillstream.llm import (
+    bpe, decontaminate, jaccard_join, language, licenses, mixing, order_minhash, paragraphs, pii, prefix_trie, quality, simhash, spelling,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +81,18 @@ def op9_mixing(spark, sf_dir):
 @query
 def op6_paragraphs(spark, sf_dir):
     return paragraphs.repeats(documents(spark, sf_dir))
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op12_simhash(spark, sf_dir):
+    return simhash.near_copies(documents(spark, sf_dir))
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    return spelling.variants(documents(spark, sf_dir))
