@@ -87,3 +87,18 @@ def test_app_log(spark):
     )
     assert [(r.common.mid, r.common.ar, r.ts) for r in good.collect()] == [("m", None, 5)]
     assert bad.count() == 3
+
+
+def test_numbers_that_are_no_numbers_are_bad(spark):
+    fields = '{"id": "1", "user_id": "2", "create_time": "2020-01-01 10:00:00", "final_total_amount": %s, "original_total_amount": %s}'
+    texts = [fields % x for x in (('"12,50"', '"1"'), ('"3"', '"abc"'), ('"4.5"', "null"), ('""', '"5"'), ("6", "7.25"))]
+    good, bad = parse_records(spark.createDataFrame([(t,) for t in texts], "value string"), ORDER_INFO_SOURCE, ["id", "user_id"])
+    assert rows(good, "final_total_amount", "original_total_amount") == [(0.0, 5.0), (4.5, 0.0), (6.0, 7.25)]
+    assert rows(bad) == sorted((t,) for t in texts[:2])
+
+
+def test_an_envelope_without_a_table_has_no_topic(spark):
+    texts = ['{"type": "INSERT", "data": [{"id": "1"}]}', '{"type": "INSERT", "table": "t", "data": [{"id": "2"}]}']
+    changes = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert rows(routing.split_changes(changes)) == [("ods_t", '{"id":"2"}')]
+    assert rows(routing.no_envelopes(changes)) == [(texts[0],)]

@@ -40,10 +40,10 @@ def no_envelopes(changes: DataFrame, insert_types: tuple[str, ...] = ("INSERT",)
 def split_changes(changes: DataFrame, insert_types: tuple[str, ...] = ("INSERT",)) -> DataFrame:
     """Inserted rows of change envelopes ``{type, table, data}``, one output row per element of ``data``.
 
-    ``topic`` is ``ods_<table>`` and ``value`` the JSON text of the row. Null and empty ``data`` give no row. The envelope is
-    parsed once; ``data`` stays text until the other types are gone.
+    ``topic`` is ``ods_<table>`` and ``value`` the JSON text of the row. Null and empty ``data`` give no row, nor does an envelope
+    without a table, which is left to :func:`no_envelopes`. The envelope is parsed once; ``data`` stays text until the other types are gone.
     """
-    inserts = changes.select(_envelope().alias("change")).where(F.col("change.type").isin(*insert_types))
+    inserts = changes.select(_envelope().alias("change")).where(F.col("change.type").isin(*insert_types) & F.col("change.table").isNotNull())
     rows = inserts.select(
         F.concat(F.lit(ODS_PREFIX), F.col("change.table")).alias("topic"),
         F.explode(_records(F.col("change.data"))).alias("value"),

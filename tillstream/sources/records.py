@@ -1,7 +1,8 @@
 """JSON text to columns (SRC5, SRC6).
 
-Change records carry numbers as text, so every field is read as text first and cast afterwards. A missing number becomes
-0 and a missing text stays NULL. Rows without a usable key go to a second DataFrame instead of vanishing.
+Change records carry numbers as text, so every field is read as text first and cast afterwards. A missing number (absent, null or
+empty) becomes 0 and a missing text stays NULL. Rows without a usable key, or with a text where a number belongs, go to a second
+DataFrame instead of vanishing.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ def _typed(field: T.StructField, required: list[str]) -> Column:
         return text.alias(field.name)
     number = text.try_cast(field.dataType)
     if field.name not in required:
-        number = F.coalesce(number, F.lit(0).cast(field.dataType))
+        missing = text.isNull() | (F.trim(text) == "")
+        number = F.when(missing, F.lit(0).cast(field.dataType)).otherwise(number)
     return number.alias(field.name)
 
 
@@ -44,7 +46,7 @@ def parse_records(
 ) -> Parsed:
     """Typed records of the JSON texts in column ``value``.
 
-    ``required`` fields must be present and castable, and ``times`` must be texts of a date and time.
+    ``required`` fields must be present, numbers castable, and ``times`` must be texts of a date and time.
     Columns named in ``keep`` are carried along, and the text itself under the name ``raw``. Works on batch and streaming
     DataFrames.
     """
@@ -52,7 +54,8 @@ def parse_records(
     read = df.withColumn("_record", F.from_json(F.col(value), text_schema))
     typed = read.select(*(keep or []), F.col(value).alias("_raw"), *[_typed(f, required) for f in schema.fields])
     complete = F.lit(True)
-    for name in required:
+    numbers = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    for name in dict.fromkeys([*required, *numbers]):
         complete = complete & F.col(name).isNotNull()
     for name in times:
         complete = complete & F.try_to_timestamp(F.col(name)).isNotNull()
