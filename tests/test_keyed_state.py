@@ -26,7 +26,10 @@ def root(spark):
 
 
 def feed(session, root, layout, batches, operator, lateness="0 seconds", pauses=()):
-    """Sends batches of rows to an operator; returns the running query's state rows after each of them."""
+    """Sends batches of rows to an operator; returns the running query's state rows after each of them.
+
+    With ``pauses``, the seconds before each batch and after the last: a query with a lifetime by the processing time is never idle.
+    """
     spark, names = session, [f.split()[0] for f in layout.split(", ")]
     append(spark.createDataFrame([], layout).select(F.lit("").alias("value")).limit(0), root, "t", 1)
     read = open_topic(session, root, "t", "earliest").select(F.from_json("value", layout).alias("r")).select("r.*")
@@ -39,12 +42,13 @@ def feed(session, root, layout, batches, operator, lateness="0 seconds", pauses=
     kept = []
     try:
         for i, batch in enumerate(batches):
-            if i < len(pauses):
-                time.sleep(pauses[i])
+            time.sleep(pauses[i] if pauses else 0)
             data = spark.createDataFrame(batch, layout).select(F.to_json(F.struct(*names)).alias("value"))
             append(data.coalesce(1), root, "t", 1)
-            query.processAllAvailable()
-            kept.append(sum(op.numRowsTotal for op in query.lastProgress.stateOperators[:1]))
+            if not pauses:
+                query.processAllAvailable()
+                kept.append(sum(op.numRowsTotal for op in query.lastProgress.stateOperators[:1]))
+        time.sleep(pauses[-1] if pauses else 0)
     finally:
         query.stop()
     return kept
@@ -58,9 +62,9 @@ def log(mid, second, note=None):
 
 
 def test_a_lifetime_ends_and_is_renewed_by_writes(spark, session, root):
-    """By the processing time: a key lives 8 s after its last write, not after its first."""
+    """By the processing time: a key lives 10 s after its last write, not after its first."""
     batches = [[log("a", 1, "new"), log("a", 0, "first")], [log("a", 2)], [log("a", 3)], [log("a", 4, "again")]]
-    feed(session, root, LOG, batches, lambda s: keyed.first_visits(s, "ts", Lifetime(8)), "1 hour", pauses=(0, 5, 5, 12))
+    feed(session, root, LOG, batches, lambda s: keyed.first_visits(s, "ts", Lifetime(10)), "1 hour", pauses=(0, 6, 6, 20, 6))
     assert rows(read_log(spark, f"{root}/out"), "mid", "ts", "note") == [("a", 0, "first"), ("a", 4, "again")]
 
 

@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tillstream.operators.wide import _share
-from tillstream.schemas import USER_STATUS  # noqa: F401  (layout of the initial state of first_orders)
+from tillstream.functions.money import paid_share
 
 TIME = "_time"
 
@@ -80,7 +79,7 @@ class _Keyed(StatefulProcessor):
 
 
 def _latest(frame: pd.DataFrame, before: int | None) -> int | None:
-    return max([int(frame["_ms"].max()), *([before] if before is not None else [])])
+    return max([int(frame["event_ms"].max()), *([before] if before is not None else [])])
 
 
 class FirstOrders(_Keyed):
@@ -108,18 +107,25 @@ class FirstOrders(_Keyed):
 
 
 class FirstRows(_Keyed):
-    """The first row of a key, by ``rank``, of the first micro-batch in which it appears. Every row renews the key."""
+    """The first row of a key, by time and ``rank``, of the first micro-batch in which it appears. Every row renews the key.
+
+    With a lifetime in event time, a row later than the last one by more than that is a first row again, also where the watermark has
+    not yet let the key go.
+    """
+
+    layout = "latest_ms bigint"
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new, held, latest = not self.state.exists(), None, None
+        held, latest = None, None
         for frame in rows:
             latest = _latest(frame, latest)
-            if new:
-                i = min(range(len(frame)), key=lambda k: (frame["_ms"].iat[k], frame["rank"].iat[k]))
-                mine = (frame["_ms"].iat[i], frame["rank"].iat[i], frame["payload"].iat[i])
-                held = min(held, mine, key=lambda m: m[:2]) if held else mine
-        self.keep((True,), latest)
-        if held:
+            i = min(range(len(frame)), key=lambda k: (frame["event_ms"].iat[k], frame["rank"].iat[k]))
+            mine = (int(frame["event_ms"].iat[i]), frame["rank"].iat[i], frame["payload"].iat[i])
+            held = min(held, mine, key=lambda m: m[:2]) if held else mine
+        last = self.state.get()[0] if self.state.exists() else None
+        gone = last is not None and self.lifetime is not None and self.lifetime.event_time and held[0] > last + self.lifetime.ms
+        self.keep((latest if last is None else max(latest, last),), latest)
+        if last is None or gone:
             yield pd.DataFrame({"payload": [held[2]]})
 
 
@@ -174,7 +180,8 @@ def _apply(stream: DataFrame, keys: list[str], rest: list, processor: _Keyed, ma
     """
     schema = stream.drop(TIME).schema
     payload = F.to_json(F.struct(*schema.fieldNames()), {"ignoreNullFields": "true"}).alias("payload")
-    rows = stream.select(*keys, *rest, payload, F.unix_millis(TIME).alias("_ms"), TIME)
+    # Frames lose names that begin with an underscore.
+    rows = stream.select(*keys, *rest, payload, F.unix_millis(TIME).alias("event_ms"), TIME)
     out = rows.groupBy(*keys).transformWithStateInPandas(
         processor, f"payload string{', ' + made if made else ''}", "append", _mode(processor.lifetime),
         initialState=initial.groupBy(*keys) if initial is not None else None,
@@ -197,5 +204,6 @@ def first_visits(logs: DataFrame, rank: str, lifetime: Lifetime | None = DAY) ->
 
 def allocated(pairs: DataFrame, open_sums: DataFrame | None = None, lifetime: Lifetime | None = None) -> DataFrame:
     """Pairs of order and line, each once and in full, with ``final_detail_c`` (W4). ``open_sums`` (order_id, amount_c, shares_c) are of orders begun before."""
-    rest = ["order_detail_id", "amount_c", _share().alias("share_c"), "original_total_c", "final_total_c"]
+    share = paid_share(F.col("final_total_c"), F.col("amount_c"), F.col("original_total_c")).alias("share_c")
+    rest = ["order_detail_id", "amount_c", share, "original_total_c", "final_total_c"]
     return _apply(pairs, ["order_id"], rest, OpenOrders(lifetime), "final_detail_c bigint", open_sums)
