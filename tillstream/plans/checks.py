@@ -259,4 +259,29 @@ CHECKS: dict[str, str] = {
         select coalesce(tm_id, '0') as trademark_id, tm_name as trademark_name,
                cast(cast(sum(final_detail_c) as bigint) as double) / 100 as amount
         from alloc left join sku_info k on k.id = cast(alloc.sku_id as varchar) group by 1, 2"""),
+    "topic_offsets_resume": "select event_id, event_type from events",
+    "trademark_stats_published": _with(["alloc", "sku_info"], """
+        select coalesce(tm_id, '0') as trademark_id, tm_name as trademark_name,
+               cast(cast(sum(final_detail_c) as bigint) as double) / 100 as amount
+        from alloc left join sku_info k on k.id = cast(alloc.sku_id as varchar) group by 1, 2"""),
+    "first_order_flag_keyed": _with(["flagged"], """
+        select id, user_id, province_id, order_status, create_time, cast(final_total_c as double) / 100 as final_total_amount,
+               cast(benefit_reduce_c as double) / 100 as benefit_reduce_amount,
+               cast(original_total_c as double) / 100 as original_total_amount, cast(feight_fee_c as double) / 100 as feight_fee,
+               if_first_order
+        from flagged"""),
+    # The lines of an order come by the remainder of their id; what is left goes to the greatest of the last to come.
+    "paid_allocation_keyed": _with(["share"], """
+        select order_id, order_detail_id, sku_id, sku_num, order_status, create_time, amount_c,
+               cast(cast(case when k = 1 then final_total_c - total + share_c else share_c end as bigint) as double) / 100
+               as final_detail_amount
+        from (select share.*, head.order_status, sum(share_c) over (partition by order_id) as total,
+                     row_number() over (partition by order_id order by order_detail_id % 5 desc, order_detail_id desc) as k
+              from share join (select distinct id, order_status from ord) head on head.id = share.order_id)"""),
+    "dau_first_visit_keyed": _with(["dau"], "select * from dau"),
+    "order_line_outer_stream": _with(["line"], """
+        select l.id as order_detail_id, l.order_id, l.sku_id, o.o_orderkey as id, o.o_orderstatus as order_status,
+               case when o.o_orderkey is null then 'line_only' when l.id is null then 'order_only' else 'both' end as side
+        from (select distinct id, order_id, sku_id from line where order_id % 17 <> 0) l
+             full outer join (select * from orders where o_orderkey % 13 <> 0) o on o.o_orderkey = l.order_id"""),
 }
