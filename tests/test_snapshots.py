@@ -1,0 +1,69 @@
+"""Snapshot tables: upserts, compaction in place, reads by several sessions, plans."""
+
+import pytest
+
+from helpers import rows
+from tillstream.streaming import manifests, snapshots
+from tillstream.streaming.runtime import shared_folder
+
+LAYOUT = "id string, name string"
+
+
+@pytest.fixture
+def root(spark):
+    return shared_folder(spark, "snapshot")
+
+
+def frame(spark, *data):
+    return spark.createDataFrame(list(data), LAYOUT)
+
+
+def read(spark, root):
+    return snapshots.read_snapshot(spark, root, frame(spark).schema, "id")
+
+
+def test_upserts_and_compaction(spark, root):
+    schema = frame(spark).schema
+    assert read(spark, root).count() == 0
+    snapshots.upsert(frame(spark, ("1", "a"), ("2", "b")), root)
+    snapshots.upsert(frame(spark, ("2", "c"), ("3", None)), root)
+    want = [("1", "a"), ("2", "c"), ("3", None)]
+    assert rows(read(spark, root)) == want
+    before = read(spark, root)
+    snapshots.compact(spark, root, schema, "id", 4)
+    assert rows(before) == rows(read(spark, root)) == want  # a reader from before goes on
+    assert "Window" not in read(spark, root)._jdf.queryExecution().toString()
+    names = manifests.names(spark, root)
+    snapshots.compact(spark, root, schema, "id", 4)  # nothing to do
+    assert manifests.names(spark, root) == names
+    snapshots.upsert(frame(spark, ("1", "d")), root)
+    assert rows(read(spark, root)) == rows(read(spark.newSession(), root)) == [("1", "d"), *want[1:]]
+
+
+def test_changes_during_a_compaction_stay(spark, root, monkeypatch):
+    snapshots.upsert(frame(spark, ("1", "a")), root)
+    real = snapshots._publish_next
+
+    def publish(session, place, entry):
+        if entry["kind"] == "base":
+            monkeypatch.setattr(snapshots, "_publish_next", real)
+            snapshots.upsert(frame(spark, ("1", "later")), root)
+        return real(session, place, entry)
+
+    monkeypatch.setattr(snapshots, "_publish_next", publish)
+    snapshots.compact(spark, root, frame(spark).schema, "id", 2)
+    assert rows(read(spark, root)) == [("1", "later")]
+
+
+def test_a_lookup_by_key_does_not_shuffle_the_table(spark, root):
+    snapshots.upsert(spark.range(1000).selectExpr("cast(id as string) as id", "'x' as name"), root)
+    snapshots.compact(spark, root, frame(spark).schema, "id", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = spark.range(5000).selectExpr("cast(id % 1200 as string) as id", "id as line")
+        joined = lines.join(read(spark, root), "id", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1, plan  # that of the lines
+        assert joined.where("name is not null").count() == 5000 - 4 * 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -284,4 +284,7 @@ CHECKS: dict[str, str] = {
                case when o.o_orderkey is null then 'line_only' when l.id is null then 'order_only' else 'both' end as side
         from (select distinct id, order_id, sku_id from line where order_id % 17 <> 0) l
              full outer join (select * from orders where o_orderkey % 13 <> 0) o on o.o_orderkey = l.order_id"""),
+    "sku_snapshot_lookup": _with(["line"], """
+        select l.id, cast(sku_id as varchar) as sku_id, case when p_partkey % 3 = 0 then 'new ' || p_name else p_name end as sku_name
+        from line l left join part on p_partkey = l.sku_id"""),
 }

@@ -20,7 +20,7 @@ from tillstream.sources import shop
 from tillstream.sources.records import json_field
 from tillstream.sources.tables import read_log
 from tillstream.sources.topic_store import append, open_topic
-from tillstream.streaming import jobs, manifests
+from tillstream.streaming import jobs, manifests, snapshots
 from tillstream.streaming.progress import checkpoint_path
 from tillstream.streaming.runtime import run_to_end, shared_folder, stream_session
 
@@ -196,3 +196,17 @@ def order_line_outer_stream(spark, sf_dir):
     names = ["order_detail_id", "order_id", "sku_id", "id", "order_status", "side"]
     pairs = manifests.read_published(spark, f"{root}/matched", "pairs", jobs.matched_layout(heads.schema, lines.schema))
     return pairs.unionByName(manifests.read_published(spark, f"{root}/matched", "alone", pairs.schema)).select(*names)
+
+
+@query
+def sku_snapshot_lookup(spark, sf_dir):
+    """Products are upserted in two batches, compacted, read by name and joined to the order lines by key."""
+    root, versions = shared_folder(spark, "sku-snapshot"), shop.part_versions(spark, sf_dir)
+    layout = versions.drop("version").schema
+    for version in (1, 2):
+        snapshots.upsert(versions.where(F.col("version") == version).drop("version"), root)
+    snapshots.compact(spark, root, layout, "id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    snapshots.create_view(spark, "sku_snapshot", root, layout, "id")
+    lines = shop.order_lines(spark, sf_dir).select("id", F.col("sku_id").cast("string").alias("sku_id"))
+    products = spark.table("sku_snapshot").select(F.col("id").alias("sku_id"), "sku_name")
+    return lines.join(products, "sku_id", "left").select("id", "sku_id", "sku_name")
