@@ -1,0 +1,36 @@
+"""The ledger of all offset ranges, and days of an index that another table picks."""
+
+from pyspark.sql import functions as F
+
+from helpers import rows, run
+from tillstream.sources.tables import read_days
+from tillstream.sources.topic_store import append, open_topic
+from tillstream.streaming import jobs
+from tillstream.streaming.progress import RangeLedger, offset_ranges, read_ranges
+from tillstream.streaming.runtime import shared_folder, stream_session
+from tillstream.streaming.sinks import append_days
+
+
+def test_ranges_beyond_the_reports_that_are_held(spark):
+    session, root = stream_session(spark, 2), shared_folder(spark, "ranges")
+    session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    ledger = RangeLedger(session, f"{root}/ranges")
+    session.streams.addListener(ledger)
+    for n in (3, 5, 2):
+        append(spark.range(n).select(F.lit("x").alias("value")).coalesce(1), root, "t", 1)
+        query = run(jobs.landed(open_topic(session, root, "t", "earliest"), "g", f"{root}/out"), f"{root}/c")
+        assert len(offset_ranges(query)) <= 1
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    session.streams.removeListener(ledger)
+    got = rows(read_ranges(spark, f"{root}/ranges").where("end_offset > begin_offset"), "batch_id", "partition_id", "begin_offset", "end_offset")
+    assert [r[1:] for r in got] == [(0, 0, 3), (0, 3, 8), (0, 8, 10)]
+
+
+def test_days_of_another_table(spark):
+    root = shared_folder(spark, "days")
+    index = spark.range(60).selectExpr("concat('m', id) as mid", "date_format(date_add(date'2024-01-01', cast(id % 6 as int)), 'yyyy-MM-dd') as dt")
+    append_days(index, root, 0)
+    spark.range(4).selectExpr("date_format(date_add(date'2024-01-01', cast(id as int)), 'yyyy-MM-dd') as dt", "id as k").write.parquet(f"{root}-days")
+    found = read_days(spark, root, spark.read.parquet(f"{root}-days").where("k in (1, 2)"))
+    assert rows(found.groupBy("dt").count()) == [("2024-01-02", 10), ("2024-01-03", 10)]
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()

@@ -287,4 +287,7 @@ CHECKS: dict[str, str] = {
     "sku_snapshot_lookup": _with(["line"], """
         select l.id, cast(sku_id as varchar) as sku_id, case when p_partkey % 3 = 0 then 'new ' || p_name else p_name end as sku_name
         from line l left join part on p_partkey = l.sku_id"""),
+    "batch_ranges_ledger": "select count(*) as records, count(*) as span from events",
+    "dau_on_days_of_a_user": _with(["dau"], """
+        select dt, count(*) as value from dau where dt in (select dt from dau where uid = '1') group by dt"""),
 }

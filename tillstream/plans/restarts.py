@@ -18,14 +18,16 @@ from tillstream.plans.catalog import query
 from tillstream.schemas import DAU_INFO, DWS_ORDER_WIDE, ODS_PREFIX, STARTUP_LOG
 from tillstream.sources import shop
 from tillstream.sources.records import json_field
-from tillstream.sources.tables import read_log
+from tillstream.sources.tables import read_days, read_log
 from tillstream.sources.topic_store import append, open_topic
 from tillstream.streaming import jobs, manifests, snapshots
-from tillstream.streaming.progress import checkpoint_path
+from tillstream.streaming.progress import RangeLedger, checkpoint_path, read_ranges
 from tillstream.streaming.runtime import run_to_end, shared_folder, stream_session
+from tillstream.streaming.sinks import append_days
 
 FIRST_DAY, PART_DAYS, PARTS = "1995-01-01", 500, 5  # of the tables' order dates
 GROUP = "restarts"
+USER = "1"
 
 
 def _start(writer, root: str, name: str) -> None:
@@ -210,3 +212,34 @@ def sku_snapshot_lookup(spark, sf_dir):
     lines = shop.order_lines(spark, sf_dir).select("id", F.col("sku_id").cast("string").alias("sku_id"))
     products = spark.table("sku_snapshot").select(F.col("id").alias("sku_id"), "sku_name")
     return lines.join(products, "sku_id", "left").select("id", "sku_id", "sku_name")
+
+
+@query
+def batch_ranges_ledger(spark, sf_dir):
+    """Records per topic as a listener's ledger of offset ranges has them, over three starts, with the ranges of a partition joined end to end."""
+    session, root = stream_session(spark), shared_folder(spark, "ranges")
+    part = _parts(shop.table(spark, sf_dir, "events").select("event_id"), F.pmod("event_id", F.lit(3)), root, "events")
+    ledger = RangeLedger(session, f"{root}/ranges")
+    session.streams.addListener(ledger)
+    try:
+        for k in range(3):
+            append(_as_values(part(k)), f"{root}/topics", "events")
+            _start(jobs.landed(open_topic(session, f"{root}/topics", "events", "earliest"), GROUP, f"{root}/landed"), root, "landed")
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        session.streams.removeListener(ledger)
+    ranges = read_ranges(spark, f"{root}/ranges").where("end_offset > begin_offset")
+    partitions = ranges.groupBy("partition_id").agg(
+        F.sum(F.col("end_offset") - F.col("begin_offset")).alias("n"), (F.max("end_offset") - F.min("begin_offset")).alias("span")
+    )
+    return partitions.agg(F.sum("n").alias("records"), F.sum("span").alias("span"))
+
+
+@query
+def dau_on_days_of_a_user(spark, sf_dir):
+    """Devices per day in the stored daily index, on the days on which one user was there."""
+    root, visits = shared_folder(spark, "stored-days"), flows.daily_active(spark, sf_dir)
+    for batch_id in (0, 1):
+        append_days(visits.where(F.pmod(F.xxhash64("mid"), F.lit(2)) == batch_id), root, batch_id)
+    days = flows.start_logs(spark, sf_dir).where(F.col("common.uid") == USER).select("dt")
+    return read_days(spark, root, days).groupBy("dt").agg(F.count(F.lit(1)).alias("value"))

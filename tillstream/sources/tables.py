@@ -49,6 +49,15 @@ def read_day(spark: SparkSession, path: str, day: str, keys: list[str] | None =
     return current.drop(WRITTEN, BATCH, RUN)
 
 
+def read_days(spark: SparkSession, path: str, days: DataFrame) -> DataFrame:
+    """The rows of a daily index on the days (column ``dt``) that another table gives.
+
+    Where Spark finds those days few, it has them before it lists the index's files, and reads their directories only.
+    """
+    wanted = days.select(F.col("dt").cast("date").alias("dt")).distinct()
+    return spark.read.parquet(path).join(wanted, "dt", "left_semi").withColumn("dt", F.col("dt").cast("string")).drop(WRITTEN, BATCH, RUN)
+
+
 def read_sql(spark: SparkSession, url: str, query: str, driver: str | None = None, **options: str) -> DataFrame:
     """Result of a SQL query on a relational store, over JDBC."""
     reader = spark.read.format("jdbc").option("url", url).option("query", query).options(**options)

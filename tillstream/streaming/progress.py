@@ -11,9 +11,10 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tillstream.sources.tables import read_log
+from tillstream.streaming import manifests
 from tillstream.streaming.sinks import append_batch
 
 
@@ -59,3 +60,42 @@ def offset_ranges(query: StreamingQuery) -> list[tuple[int, dict, dict]]:
         )
         for r in reports
     ]
+
+
+class RangeLedger(StreamingQueryListener):
+    """Publishes the offset ranges of every micro-batch of the session's queries below ``path`` (PR6), however many there are.
+
+    ``session.streams.addListener(RangeLedger(session, path))``. An entry is published once, under the query's id and the batch.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        report = json.loads(event.progress.json)
+        ranges = [{"source": s["description"], "start": _text(s["startOffset"]), "end": _text(s["endOffset"])} for s in report["sources"]]
+        entry = {"query": report["name"], "batch_id": report["batchId"], "rows": report["numInputRows"], "ranges": ranges}
+        manifests.publish(self.spark, self.path, f"{report['id']}.{report['batchId']:012d}", entry)
+
+
+def _text(offset) -> str | None:
+    return offset if offset is None or isinstance(offset, str) else json.dumps(offset, sort_keys=True)
+
+
+def read_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """A row per micro-batch, source and partition: query, batch_id, source, partition_id, begin_offset, end_offset. An absent begin is 0."""
+    layout = "query string, batch_id long, ranges array<struct<source: string, start: string, end: string>>"
+    rows = spark.read.schema(layout).json(f"{path}/{manifests.FOLDER}").select("query", "batch_id", F.explode("ranges").alias("r"))
+    offsets = "map<string, bigint>"
+    rows = rows.select("query", "batch_id", "r.source", F.from_json("r.start", offsets).alias("start"), F.explode(F.from_json("r.end", offsets)).alias("p", "e"))
+    begin = F.coalesce(F.col("start")[F.col("p")], F.lit(0).cast("long")).alias("begin_offset")
+    return rows.select("query", "batch_id", "source", F.col("p").cast("int").alias("partition_id"), begin, F.col("e").alias("end_offset"))
