@@ -98,3 +98,13 @@ def test_each_batch_keeps_and_releases(spark):
     frame = spark.range(5).withColumn("x", F.lit(1))
     run(frame, 3)
     assert seen == [(True, 5, 3), 3] and not frame.is_cached
+
+
+def test_offsets_of_file_topics_grow_without_a_clock(spark, monkeypatch):
+    root, last = shared_folder(spark, "file-topic"), -1
+    for now in (3_000, 2_000, 1_000):
+        monkeypatch.setattr(sinks.time, "time_ns", lambda now=now: now)
+        sinks.write_topic_files(spark.range(50).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("value")), root)
+        found = [r.offset for r in spark.read.parquet(f"{root}/topic=t").where("partition = 0").collect()]
+        assert len(set(found)) == len(found) and sum(o > last for o in found) == 50 // spark.sparkContext.defaultParallelism
+        last = max(found)

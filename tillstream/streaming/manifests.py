@@ -14,7 +14,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.streaming.sinks import run_of
+from tillstream.streaming.runtime import run_of
 
 FOLDER = "_manifests"
 
@@ -58,6 +58,14 @@ def entry(spark: SparkSession, root: str, name: str) -> dict:
     return json.loads(spark.read.text(f"{root}/{FOLDER}/{name}.json", wholetext=True).first()[0])
 
 
+def take_number(spark: SparkSession, root: str) -> int:
+    """The next number of a counter below ``root``: 0, 1, 2 and so on, each given once."""
+    while True:
+        number = len(names(spark, root))
+        if publish(spark, root, f"{number:012d}", {}):
+            return number
+
+
 def publish_batch(
     spark: SparkSession, path: str, batch_id: int, results: dict[str, DataFrame], offsets: DataFrame | None = None, run: str | None = None,
     before=None,

@@ -18,10 +18,10 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tillstream.schemas import DIMENSIONS, TOPIC_RECORD
 from tillstream.sources.tables import BATCH, RUN, WRITTEN, latest_rows_sql, read_dim
+from tillstream.streaming import manifests
+from tillstream.streaming.runtime import run_of
 
-QUERY_ID = "sql.streaming.queryId"  # Spark's name for the id of the query that runs a micro-batch
-TOPIC_ROWS = 1 << 24  # offsets of a file topic that one task has for one millisecond
-TOPIC_START_MS = 1_577_836_800_000  # the year 2020, from which those milliseconds count
+TOPIC_ROWS = 1 << 33  # offsets of a file topic that one task has in one writing
 
 
 def as_messages(df: DataFrame, topic: str, key: str | None = None) -> DataFrame:
@@ -42,14 +42,15 @@ def write_topic(messages: DataFrame, servers: str, **extra: str) -> None:
 def write_topic_files(messages: DataFrame, root: str, mode: str = "append") -> None:
     """Messages as files, one directory per topic; each task writes its own files, whatever the topic sizes.
 
-    Messages without a partition and an offset get them: the number of the task, and the time of writing followed by the number
-    of the row in its task, so that the offsets of a partition grow from one writing to the next.
+    Messages without a partition and an offset get them: the number of the task, and the number of the writing followed by that
+    of the row in its task, so that the offsets of a partition grow from one writing to the next, whatever clocks say. Writings are
+    counted below ``root``. Offsets have gaps; ``sources.topic_store`` gives them without.
     """
     known = {f.name: f.dataType for f in TOPIC_RECORD.fields}
     if "offset" not in messages.columns:
         row = F.monotonically_increasing_id().bitwiseAND(TOPIC_ROWS - 1)
-        now = (time.time_ns() // 1_000_000 - TOPIC_START_MS) * TOPIC_ROWS
-        place = {"partition": F.spark_partition_id(), "offset": F.lit(now).cast("long") + row}
+        first = manifests.take_number(messages.sparkSession, f"{root}/_writings") * TOPIC_ROWS
+        place = {"partition": F.spark_partition_id(), "offset": F.lit(first).cast("long") + row}
         messages = messages.withColumns(place)
     rows = messages.select(
         *[(F.col(c) if c in messages.columns else F.lit(None)).cast(t).alias(c) for c, t in known.items()]
@@ -57,11 +58,6 @@ def write_topic_files(messages: DataFrame, root: str, mode: str = "append") -> N
     rows.write.mode(mode).partitionBy("topic").parquet(root)
 
 
-def run_of(df: DataFrame) -> str:
-    """The id of the streaming query in whose micro-batch this is called; ``batch`` outside of any."""
-    return df.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "batch"
-
-
 def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumn(WRITTEN, F.lit(time.time_ns() // 1_000).cast("long"))
 
