@@ -5,7 +5,9 @@ under any order of all tokens. Here a pair must do so under several orders:
 
 1. by hash, with half as many tokens again, so that linked sets share more than one of them;
 2. by frequency among those, the rarest first, which leaves out the tokens that many documents share;
-3. by two more hashes, on the pairs that are left.
+3. by frequency over the whole sets of the documents that are left: one with too many tokens of its own has no links, and a
+   pair's first common token must stand early enough in both sets;
+4. by two more hashes, on the pairs that are left.
 
 What passes is verified exactly. Equal sets are one class before all this. Classes that share their least token under one of
 a few hashes are compared with one member of that group first, the one with the fewest tokens of its own, so that a large group
@@ -117,6 +119,20 @@ def whole_sets(docs: DataFrame, ids: DataFrame, size: int, percent: int) -> Data
     return chosen.mapInArrow(run, schema).dropDuplicates(["doc_id"])
 
 
+def rare_first(sets: DataFrame, percent: int) -> DataFrame:
+    """Of the sets (node, n, tokens) those that can have a link, with their prefix under the order by frequency.
+
+    Columns node, n, own (tokens that no other set has; they come first in the order) and prefix (the tokens after these).
+    The order is one for all sets, so linked ones share a token of their prefixes; a prefix of own tokens only has none to share.
+    """
+    spread = sets.select("node", "n", F.explode("tokens").alias("token"))
+    often = spread.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
+    found = spread.join(often, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("found"))
+    found = found.withColumn("own", F.col("n") - F.size("found"))
+    room = F.expr(f"int(n - ceil({percent} * n / 100BD) + 1 - own)")
+    return found.where(room > 0).select("node", "n", "own", F.slice("found.token", F.lit(1), room).alias("prefix"))
+
+
 def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Columns doc_id, n_shingles and component_id: the least doc_id that can be reached by links, the document's own included.
 
@@ -133,13 +149,12 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     spread = firsts.select("doc_id", F.explode("first").alias("token"))
     often = spread.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
     common = spread.join(often, "token").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("found"))
-    total = full.select("doc_id", F.size("first").alias("total"), "keep", "n").dropDuplicates(["doc_id"])
+    total = full.select("doc_id", F.size("first").alias("total"), "keep").dropDuplicates(["doc_id"])
     room = F.col("keep") - (F.col("total") - F.size("found"))
-    shared = common.join(total, "doc_id").where(room > 0).withColumn("own", F.col("total") - F.size("found"))
-    shared = shared.select("doc_id", "n", "own", F.expr("slice(found.token, 1, int(keep - (total - size(found))))").alias("prefix"))
-    shared = saved(shared.withColumnRenamed("doc_id", "node"), "prefixes")
-    sets = whole_sets(docs, shared.select(F.col("node").alias("doc_id")), size, percent)
+    left = common.join(total, "doc_id").where(room > 0).select("doc_id")
+    sets = whole_sets(docs, saved(left, "left"), size, percent)
     sets = saved(sets.withColumnRenamed("doc_id", "node"), "tokens")
+    shared = saved(rare_first(sets, percent), "prefixes")
 
     keys = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"group_{k}").alias("g")) for k in PIVOTS])).alias("x")
     keys = sets.select("node", keys).select("node", "x.*").join(shared.select("node", "own"), "node")
@@ -147,7 +162,8 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     groups = keys.join(pivot.select("k", "g", "p"), ["k", "g"]).select("node", "p")
     near, roots, differences = with_centres(groups, sets, percent)
     facts = with_facts(shared.withColumnRenamed("own", "rank"), roots, differences)
-    spread = facts.select(F.explode("prefix").alias("token"), "node", "n", "rank", "root", "ps")
+    spread = facts.select(F.posexplode("prefix").alias("after", "token"), "node", "n", "rank", "root", "ps")
+    spread = spread.withColumn("at", F.col("rank") + F.col("after")).drop("after")
     pairs = open_pairs(spread, ["token"], percent)
     for k in FURTHER:
         one, two = (sets.select(F.col("node").alias(x), F.col(f"order_{k}").alias(f"o_{x}")) for x in "ab")

@@ -94,12 +94,18 @@ def links_by_differences(differences: DataFrame, roots: DataFrame, percent: int)
     beyond = high * F.col("d") - low * (F.col("n") + F.col("n_p"))
     every = F.col("d") - F.ceil(percent * F.col("d") / high - 1e-9) + 1
     far = F.col("d") - F.ceil((beyond + high - low) / (2 * high) - 1e-9) + 1
-
-    def tokens(rows: DataFrame, length: Column, name: str) -> DataFrame:
-        token = F.explode(F.slice("diff", F.lit(1), F.greatest(F.lit(0), F.least(length, F.col("d"))).cast("int"))).alias("token")
-        return rows.select("p", token, F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
-
-    pairs = tokens(facts.where(beyond > 0), far, "x").join(tokens(facts, every, "y"), ["p", "token"]).where("root_x <> root_y")
+    facts = facts.withColumn("far", beyond > 0)
+
+    def tokens(rows: DataFrame, length: Column, x: str) -> DataFrame:
+        prefix = F.slice("diff", F.lit(1), F.greatest(F.lit(0), F.least(length, F.col("d"))).cast("int"))
+        others = [F.col(c).alias(f"{c}_{x}") for c in ("root", "n", "d", "far")]
+        return rows.select("p", F.posexplode(prefix).alias(f"at_{x}", "token"), F.col("node").alias(x), *others)
+
+    # At their first common difference, two nodes have no more in common than what follows in either; two far ones meet once.
+    most = F.least(F.col("d_x") - F.col("at_x"), F.col("d_y") - F.col("at_y"))
+    close = high * (F.col("d_x") + F.col("d_y") - 2 * most) <= low * (F.col("n_x") + F.col("n_y"))
+    pairs = tokens(facts.where("far"), far, "x").join(tokens(facts, every, "y"), ["p", "token"])
+    pairs = pairs.where("root_x <> root_y and (not far_y or x < y)").where(close)
     pairs = pairs.select("p", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     one, two = (facts.select("p", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("diff").alias(f"d_{x}")) for x in "ab")
     differ = F.size("d_a") + F.size("d_b") - 2 * F.size(F.array_intersect("d_a", "d_b"))
@@ -110,16 +116,21 @@ def open_pairs(spread: DataFrame, keys: list[str], percent: int) -> DataFrame:
     """Distinct pairs (a, b) of different components and without a common centre that share a key, if their sizes allow a link.
 
     ``spread``: the keys, and node, n, rank, root, ps. Of a key's nodes those of the component of the least rank need not
-    be compared with each other.
+    be compared with each other. If keys are tokens in one order for all sets, ``at`` tells the place of each in its set, from 0:
+    at the first token in common, two sets share no more than what follows in either.
     """
+    place = [c for c in ("at",) if c in spread.columns]
     mixed = spread.groupBy(*keys).agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("rank", "root"))["root"].alias("main")
     )
-    columns = ["node", "n", "root", "ps"]
+    columns = ["node", "n", "root", "ps", *place]
     spread = spread.select(*keys, *columns).join(mixed.where("low <> high").select(*keys, "main"), keys)
     one = spread.where("root <> main").select(*keys, *[F.col(c).alias(f"{c}_a") for c in columns])
     two = spread.select(*keys, "main", *[F.col(c).alias(f"{c}_b") for c in columns])
     once = "root_a <> root_b and (root_b = main or node_a < node_b) and not coalesce(arrays_overlap(ps_a, ps_b), false)"
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    if place:
+        most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+        sizes &= (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
     pairs = one.join(two, keys).where(once).where(sizes)
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
