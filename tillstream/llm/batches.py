@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20  # texts handled at once
+SLICE_BYTES = 1 << 19  # texts handled at once; a worker holds some fifty bytes for each
 HASH_BYTES = 1 << 20  # bytes whose powers are held at once
 ROOT = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 

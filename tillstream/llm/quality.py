@@ -44,7 +44,7 @@ class Features:
     """Numbers that describe the style of a text: no word of it counts for itself, so they hold for any language."""
 
     def __init__(self):
-        self.kind = np.full(256, N_CLASSES - 1, np.int64)
+        self.kind = np.full(256, N_CLASSES - 1, np.uint8)
         for i, members in enumerate(CLASSES):
             self.kind[members] = i
         self.words = spaced_words()
@@ -53,12 +53,14 @@ class Features:
     def of(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         n_rows, kinds = len(bounds) - 1, N_CLASSES
         size = np.diff(bounds)
-        row = np.repeat(np.arange(n_rows), size)
         kind = self.kind[raw]
-        single = np.bincount(row * kinds + kind, minlength=n_rows * kinds).reshape(n_rows, kinds) / np.maximum(size, 1)[:, None]
-        same = row[1:] == row[:-1]
-        pair = (row[1:] * kinds + kind[:-1]) * kinds + kind[1:]
-        double = np.bincount(pair[same], minlength=n_rows * kinds * kinds).reshape(n_rows, -1) / np.maximum(size - 1, 1)[:, None]
+        codes = kind[:-1] * np.uint8(kinds) + kind[1:]  # below 100: a byte for each pair of neighbours
+        single, double = np.zeros((n_rows, kinds)), np.zeros((n_rows, kinds * kinds))
+        for i, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist(), strict=False)):
+            single[i] = np.bincount(kind[a:b], minlength=kinds)
+            double[i] = np.bincount(codes[a : max(a, b - 1)], minlength=kinds * kinds)
+        single /= np.maximum(size, 1)[:, None]
+        double /= np.maximum(size - 1, 1)[:, None]
         starts, ends, firsts = self.words.find(raw, bounds)
         hashes, count = self.words.hashes(raw, starts, ends), np.diff(firsts)
         many = np.maximum(count, 1)
@@ -66,7 +68,7 @@ class Features:
         follows[1:] = hashes[1:] == hashes[:-1]
         follows[firsts[:-1][count > 0]] = 0
         length = (ends - starts).astype(np.float64)
-        first = kind[starts] if len(starts) else np.zeros(0, np.int64)
+        first = kind[starts]
         lone = (length == 1) & (first > 3)
         l_starts, l_ends, l_firsts = self.lines.find(raw, bounds)
         l_hashes = self.lines.hashes(raw, l_starts, l_ends)
