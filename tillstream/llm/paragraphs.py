@@ -32,7 +32,6 @@ REACH = 4
 LONG_PIECE = 32  # a longer piece is cut every half of that
 ROWS, RECALL = 2, 0.999
 BROADCAST_IDS = 1_000_000  # ids sent to all executors at most; more are joined
-BROADCAST_UNITS = 1_000_000  # the same for repeated units
 
 
 def bands(rows: int = ROWS, percent: int = PERCENT, recall: float = RECALL) -> int:
@@ -197,7 +196,7 @@ def repeats(docs: DataFrame, least_span: int = LEAST_SPAN) -> DataFrame:
     repetitions within one document. Null and empty texts have none. Rows of one id count as one document.
     """
     units = _units(docs, signatures=False)
-    links = near_paragraphs(docs)
+    links = saved(near_paragraphs(docs), "paragraph-links")  # the rounds below read them many times: not with the joins that make them
     roots = components(links).withColumnRenamed("node", "unit")
     exact = units.groupBy("unit").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     # Classes: units of equal words, joined by the components of near ones.
@@ -205,8 +204,6 @@ def repeats(docs: DataFrame, least_span: int = LEAST_SPAN) -> DataFrame:
     classes = classes.toDF("unit", "class", "root", "least", "most").where("root is not null or least <> most")
     spread = classes.groupBy("class").agg(F.min("least").alias("keeper"), F.max("most").alias("most")).where("keeper <> most")
     repeated = saved(classes.select("unit", "class").join(spread.select("class", "keeper"), "class").select("unit", "keeper"), "classes")
-    if repeated.count() <= BROADCAST_UNITS:
-        repeated = F.broadcast(repeated)
     found = units.join(repeated, "unit").select("doc_id", "low", "high", "keeper")
     # A document's spans are no more than its words: one row for each document, with its spans in order.
     spans = found.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("low", "high", "keeper"))).alias("spans"))
