@@ -21,6 +21,7 @@ from pyspark.sql.types import ArrayType, BooleanType, LongType, StructType
 from tillstream.llm import near as near_sets
 from tillstream.llm.batches import mix, shingles, slices, spaced_words, text_bytes
 from tillstream.llm.components import components, saved
+from tillstream.llm.jaccard_join import rare_first
 
 SHINGLE = 5
 PERCENT = 80
@@ -169,7 +170,8 @@ def near_paragraphs(docs: DataFrame) -> DataFrame:
     """Links (a, b) between distinct paragraphs with Jaccard similarity of ``PERCENT`` or more that share a band.
 
     Within a band each paragraph is compared with the one that stands in most places; then those that are not yet in one
-    component are looked at pair by pair (see ``near``).
+    component are looked at pair by pair (see ``near``). Such a pair shares, beside the key of a band, one of the rare shingles
+    without which no similarity of ``PERCENT`` is possible; so paragraphs with a frequent passage in common are not paired up.
     """
     distinct = _units(docs, signatures=True).groupBy("unit").agg(F.min(F.struct("doc_id", "keys")).alias("p"), F.count("*").alias("places"))
     keyed = distinct.select("unit", "p.doc_id", (-F.col("places")).alias("rank"), F.posexplode("p.keys").alias("band", "key"))
@@ -179,9 +181,11 @@ def near_paragraphs(docs: DataFrame) -> DataFrame:
     wanted = keyed.select("doc_id", F.col("node").alias("unit")).distinct()
     sets = saved(_shingle_sets(docs, wanted).withColumnRenamed("unit", "node"), "paragraphs")
     near, roots, differences = near_sets.with_centres(keyed.select("node", "p"), sets, PERCENT)
-    facts = near_sets.with_facts(sets.select("node", F.size("tokens").alias("n")), roots, differences)
-    spread = keyed.select("band", "key", "node", "rank").join(facts, "node")
-    rest = near_sets.open_pairs(spread, ["band", "key"], PERCENT)
+    rare = rare_first(sets.withColumn("n", F.size("tokens").cast("long")), PERCENT)
+    facts = near_sets.with_facts(rare, roots, differences)
+    spread = keyed.select("band", "key", "node", "rank").join(facts, "node").select("*", F.posexplode("prefix").alias("after", "token"))
+    spread = spread.withColumn("at", F.col("own") + F.col("after")).drop("own", "prefix", "after")
+    rest = near_sets.open_pairs(spread, ["band", "key", "token"], PERCENT)
     near = near.union(near_sets.links_by_differences(differences, roots, PERCENT))
     return near.union(near_sets.linked(near_sets.compared(rest, sets), PERCENT))
 
