@@ -290,4 +290,7 @@ CHECKS: dict[str, str] = {
     "batch_ranges_ledger": "select count(*) as records, count(*) as span from events",
     "dau_on_days_of_a_user": _with(["dau"], """
         select dt, count(*) as value from dau where dt in (select dt from dau where uid = '1') group by dt"""),
+    "order_user_sharded": _with(["head", "user_info"], """
+        select h.id, h.user_id, u.age_group as user_age_group, u.gender as user_gender
+        from head h left join user_info u on u.id = cast(h.user_id as varchar)"""),
 }

@@ -20,12 +20,13 @@ from tillstream.sources import shop
 from tillstream.sources.records import json_field
 from tillstream.sources.tables import read_days, read_log
 from tillstream.sources.topic_store import append, open_topic
-from tillstream.streaming import jobs, manifests, snapshots
+from tillstream.streaming import jobs, manifests, sharded, snapshots
 from tillstream.streaming.progress import RangeLedger, checkpoint_path, read_ranges
 from tillstream.streaming.runtime import run_to_end, shared_folder, stream_session
 from tillstream.streaming.sinks import append_days
 
 FIRST_DAY, PART_DAYS, PARTS = "1995-01-01", 500, 5  # of the tables' order dates
+USER_SHARDS = 16
 GROUP = "restarts"
 USER = "1"
 
@@ -243,3 +244,19 @@ def dau_on_days_of_a_user(spark, sf_dir):
         append_days(visits.where(F.pmod(F.xxhash64("mid"), F.lit(2)) == batch_id), root, batch_id)
     days = flows.start_logs(spark, sf_dir).where(F.col("common.uid") == USER).select("dt")
     return read_days(spark, root, days).groupBy("dt").agg(F.count(F.lit(1)).alias("value"))
+
+
+@query
+def order_user_sharded(spark, sf_dir):
+    """Orders of five parts with their users; users are upserted in two batches, and a micro-batch reads the shards of its users only."""
+    session, root = stream_session(spark), shared_folder(spark, "order-users")
+    users, third = shop.users(spark, sf_dir), F.pmod(F.col("id").cast("long"), F.lit(3)) == 0
+    sharded.upsert(users.withColumn("age_group", F.when(third, "unknown").otherwise(F.col("age_group"))), f"{root}/users", "id", 0, USER_SHARDS)
+    sharded.upsert(users.where(third), f"{root}/users", "id", 1, USER_SHARDS)
+    heads = shop.order_heads(spark, sf_dir).select("id", "user_id", "create_time")
+    part = _parts(heads, _part_of(F.to_date("create_time")), root, "orders")
+    topic, topics = f"{ODS_PREFIX}order_info", f"{root}/topics"
+    append(_as_values(part(0)), topics, topic)
+    job = jobs.order_users(open_topic(session, topics, topic, "earliest"), f"{root}/users", users.schema, f"{root}/joined", f"{root}/bad")
+    _feed(job, root, "order_users", [lambda: None, *[lambda k=k: append(_as_values(part(k)), topics, topic) for k in range(1, PARTS)]])
+    return read_log(spark, f"{root}/joined").select("id", "user_id", "user_age_group", "user_gender")

@@ -58,13 +58,13 @@ def write_topic_files(messages: DataFrame, root: str, mode: str = "append") -> N
     rows.write.mode(mode).partitionBy("topic").parquet(root)
 
 
-def _stamped(df: DataFrame) -> DataFrame:
+def stamped(df: DataFrame) -> DataFrame:
     return df.withColumn(WRITTEN, F.lit(time.time_ns() // 1_000).cast("long"))
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
     """Writes a micro-batch of a run to its own directory of an upsert log (SK4, SK5, SK7, SK9)."""
-    _stamped(df).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}/{RUN}={run or run_of(df)}")
+    stamped(df).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}/{RUN}={run or run_of(df)}")
 
 
 def append_days(df: DataFrame, path: str, batch_id: int, run: str | None = None) -> None:
@@ -73,7 +73,7 @@ def append_days(df: DataFrame, path: str, batch_id: int, run: str | None = None)
     A reader of one day lists that day only. Rows of a day are brought together first, so that there is no file per task and
     day; Spark splits a large day over several tasks.
     """
-    rows = _stamped(df).withColumns({BATCH: F.lit(batch_id).cast("long"), RUN: F.lit(run or run_of(df))}).hint("rebalance", F.col("dt"))
+    rows = stamped(df).withColumns({BATCH: F.lit(batch_id).cast("long"), RUN: F.lit(run or run_of(df))}).hint("rebalance", F.col("dt"))
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("dt", BATCH, RUN).parquet(path)
 
