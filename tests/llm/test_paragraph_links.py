@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
+import pytest
+
 from tillstream.llm import paragraphs
+from tillstream.llm.batches import spaced_words
 from tillstream.llm.components import components
 
 
@@ -33,3 +37,11 @@ def test_crowd_with_a_passage_in_common(spark):
     docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(5)
     found = components(paragraphs.near_paragraphs(docs)).groupBy("root").count().collect()
     assert sorted(r["count"] for r in found) == want
+
+
+@pytest.mark.parametrize("texts", [[], [None], ["", None], [" \n "]])
+def test_slices_without_words(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    units = paragraphs.Units(batch, spaced_words())
+    runs, ahead = units.paragraph_shingles()
+    assert len(units.low) == len(units.high) == len(units.hash) == len(runs) == 0 and list(ahead) == [0]

@@ -53,7 +53,7 @@ class Units:
         fresh = np.ones(n, bool)
         fresh[1:] = (row[1:] != row[:-1]) | (line[1:] != line[:-1])
         low = np.flatnonzero(fresh)
-        high = np.append(low[1:], n)
+        high = np.append(low, n)[1:]
         long = high - low >= LEAST_WORDS
         # Local minima of the hash of each word and the next; beyond a text's ends nothing is less.
         two = mix(self.words) + np.append(self.words[1:], self.words[:0].sum(dtype=np.uint64)) if n else self.words
@@ -81,7 +81,7 @@ class Units:
         more = np.where(size > LONG_PIECE, (size - 1) // (LONG_PIECE // 2), 0)  # words that repeat have no local minima
         steps = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
         piece = np.sort(np.concatenate([piece, np.repeat(piece, more) + steps * (LONG_PIECE // 2)]))
-        both = np.stack([piece, np.append(piece[1:], n)], 1)
+        both = np.stack([piece, np.append(piece, n)[1:]], 1)
         short = both[:, 1] - both[:, 0] < LEAST_PIECE
         out = [both[~short]]
         if joined and n:
