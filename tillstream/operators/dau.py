@@ -34,6 +34,23 @@ def first_visits_stream(logs: DataFrame, lateness: str = "2 days", salts: int =
     return dedup_stream(timed, ["dt", "mid"], salts).drop("_time")
 
 
+def with_new_devices(logs: DataFrame, time: str, wait: str, salts: int = SALTS) -> DataFrame:
+    """A stream of the logs, plus one row (``_new`` true, only ``dt`` and ``mid`` set) at a device's first appearance on a day.
+
+    Spark's own de-duplication state remembers the devices for ``wait``, which must be a day at least: whatever is not too late by then
+    still finds its device. :func:`first_of_new_devices` turns a micro-batch of this stream into first records.
+    """
+    timed = logs.withWatermark(time, wait)
+    new = dedup_stream(timed.select("dt", "mid", time, "offset"), ["dt", "mid"], salts).select("dt", "mid", F.lit(True).alias("_new"))
+    return logs.withColumn("_new", F.lit(False)).unionByName(new, allowMissingColumns=True).drop(time)
+
+
+def first_of_new_devices(batch: DataFrame, order: list[str]) -> DataFrame:
+    """The first record of each device and day that the micro-batch is the first to have."""
+    new = batch.where("_new").select("dt", "mid")
+    return first_per_key(batch.where("not _new").drop("_new").join(new, ["dt", "mid"], "left_semi"), ["dt", "mid"], order)
+
+
 def active_total(dau: DataFrame, day: str) -> DataFrame:
     """Number of devices on a day, 0 for a day without any."""
     return dau.where(F.col("dt") == day).agg(zero_if_null(F.count(F.lit(1))).alias("value"))
