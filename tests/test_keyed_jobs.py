@@ -55,3 +55,21 @@ def test_first_visits_without_python_per_device(spark, session, root):
     ]
     assert read_log(spark, f"{root}/bad").count() == 1
     assert kinds and not any("transformWithState" in k for k in kinds)
+
+
+def head(user, i, minute, status="x"):
+    return {"id": i, "user_id": user, "order_status": status, "create_time": f"2024-01-01 00:{minute:02d}:00"}
+
+
+def test_first_orders_without_python_per_user(spark, session, root):
+    known = session.createDataFrame([("7",), ("no number",)], "user_id string")
+    batches = [
+        [head(1, 10, 5), head(1, 11, 3), head(1, 11, 3), head(1, 9, 5, None), head(7, 12, 1), {"id": 5}],
+        [head(1, 13, 1), head(2, 2**61 + 1, 2)], [head(2, 15, 1)], [head(7, 16, 9)], [head(3, 18, 4), head(3, 17, 4)],
+    ]
+    kinds = feed(session, root, batches, lambda records: jobs.flagged_orders(records, known, f"{root}/out", f"{root}/bad"))
+    got = rows(read_log(spark, f"{root}/out"), "id", "user_id", "order_status", "if_first_order")
+    assert [r[0] for r in got if r[3] == "1"] == [11, 17, 2**61 + 1]
+    assert len(got) == 11 and (9, 1, None, "0") in got and (11, 1, "x", "0") in got  # of two records of an order one is the first
+    assert read_log(spark, f"{root}/bad").count() == 1
+    assert kinds and not any("transformWithState" in k for k in kinds)
