@@ -73,3 +73,28 @@ def test_first_orders_without_python_per_user(spark, session, root):
     assert len(got) == 11 and (9, 1, None, "0") in got and (11, 1, "x", "0") in got  # of two records of an order one is the first
     assert read_log(spark, f"{root}/bad").count() == 1
     assert kinds and not any("transformWithState" in k for k in kinds)
+
+
+PAIR = "order_id long, order_detail_id long, amount_c long, original_total_c long, final_total_c long, note string, create_time string"
+
+
+def line(order_id, i, amount, original, final):
+    at = {"create_time": "2024-01-01 00:00:00", "note": f"n{i}"}
+    return {"order_id": order_id, "order_detail_id": i, "amount_c": amount, "original_total_c": original, "final_total_c": final, **at}
+
+
+def test_allocation_without_python_per_order(spark, session, root):
+    begun = session.createDataFrame([(5, 60, 20)], "order_id long, amount_c long, shares_c long")
+    schema = session.createDataFrame([], PAIR).schema
+    batches = [
+        [line(1, 3, 10, 30, 10), line(1, 4, 10, 30, 10), line(2, 1, 7, 7, 5)], [line(5, 9, 40, 100, 33)],
+        [line(3, 1, 0, 0, 4), line(3, 2, 0, 0, 4)], [line(1, 1, 10, 30, 10)], [line(3, 3, 0, 0, 4)], [line(4, 1, 5, 100, 50)],
+        [line(2, 2, 7, 7, 5)],  # as order 2 is complete and forgotten, it begins anew
+    ]
+    kinds = feed(session, root, batches, lambda records: jobs.allocated_lines(records, schema, f"{root}/out", begun))
+    got = {(r.order_id, r.order_detail_id): (r.final_detail_c, r.note) for r in read_log(spark, f"{root}/out").collect()}
+    want = {(1, 3): 3, (1, 4): 3, (1, 1): 4, (2, 1): 5, (5, 9): 13, (3, 1): 0, (3, 2): 4, (3, 3): 0, (4, 1): 3, (2, 2): 5}
+    assert got == {k: (v, f"n{k[1]}") for k, v in want.items()}
+    assert not any("transformWithState" in k for k in kinds)
+    last = spark.read.parquet(f"{root}/out_open/batch_id=6")
+    assert {r.order_id for r in last.where("not done or amount_c = 0").collect()} == {3, 4}
