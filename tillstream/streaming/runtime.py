@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Also where the split costs a shuffle further up: it only happens where a partition is skewed.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Shuffles start from so many partitions, which adaptive execution puts together again where they are small: what a task sorts
+    # does not grow with the table. State keeps to its own number (see ``stream_session``).
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "192",
 }
 STREAM_SETTINGS = {
     **SETTINGS,
