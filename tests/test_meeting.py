@@ -11,6 +11,7 @@ from tillstream.schemas import ORDER_DETAIL
 from tillstream.sources.records import parse_records
 from tillstream.sources.topics import Topic, open_stream
 from tillstream.streaming import jobs
+from tillstream.streaming.manifests import read_published
 from tillstream.streaming.runtime import shared_folder, stream_session
 from tillstream.streaming.sinks import show_batch
 
@@ -63,3 +64,29 @@ def test_a_batch_is_shown_once(spark, root):
         show_batch(spark, f"{root}/written{n}", f"{root}/log", 0, "r")
     show_batch(spark, f"{root}/nothing", f"{root}/log", 1, "r")
     assert spark.read.parquet(f"{root}/log").count() == 3
+
+
+def test_rows_of_one_side_leave_once(spark, session, root):
+    """Each row that stays alone comes out once, when nothing can come for it any more; the job keeps no state of its own."""
+    orders, lines = "id long, order_status string, at string", "order_detail_id long, order_id long, sku_id long, at string"
+    order_schema, line_schema = (spark.createDataFrame([], s).schema for s in (orders, lines))
+    at = lambda m: f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00"
+    arrivals = [
+        ([(1, "a", at(0)), (2, "b", at(1)), (1, "a", at(0))], [(11, 1, 5, at(0)), (31, 3, 7, at(3)), (31, 3, 7, at(3))]),
+        ([(4, "d", at(9))], [(41, 4, 9, at(12)), (11, 1, 5, at(0)), (42, 4, 9, at(30))]),  # 42 is too far from its order
+        ([(6, "f", at(200))], [(61, 6, 1, at(200))]),
+        ([(7, "g", at(400))], [(71, 8, 1, at(400)), (12, 1, 5, at(1))]),  # line 12 is late
+        ([(7, "g", at(401))], [(72, 8, 1, at(401))]),
+    ]
+    for new_orders, new_lines in arrivals:
+        for topic, layout, data in (("o", orders, new_orders), ("l", lines, new_lines)):
+            send(spark, f"{root}/t", topic, [r[0] for r in spark.createDataFrame(data, layout).select(F.to_json(F.struct("*"))).collect()])
+        streams = [open_stream(session, Topic(t, root=f"{root}/t")) for t in ("o", "l")]
+        query = run(jobs.matched_sides(*streams, order_schema, line_schema, f"{root}/matched", "10 minutes"), f"{root}/c")
+        assert not any(p["stateOperators"] for p in query.recentProgress)
+    layout = jobs.matched_layout(order_schema, line_schema)
+    both, alone = (read_published(spark, f"{root}/matched", kind, layout) for kind in ("pairs", "alone"))
+    assert rows(both, "id", "order_detail_id", "sku_id", "order_status") == [(1, 11, 5, "a"), (4, 41, 9, "d"), (6, 61, 1, "f")]
+    assert rows(alone, "id", "order_detail_id", "order_id", "side") == [
+        (2, None, None, "order_only"), (None, 31, 3, "line_only"), (None, 42, 4, "line_only"),
+    ]
