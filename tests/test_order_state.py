@@ -1,0 +1,32 @@
+"""State of the older order jobs: one row per user or order, summed in each task before the shuffle."""
+
+from __future__ import annotations
+
+import pytest
+from test_streams import order, order_job
+
+from helpers import run, send
+from tillstream.sources.tables import read_log
+from tillstream.streaming.runtime import shared_folder, stream_session
+
+
+@pytest.fixture
+def session(spark):
+    return stream_session(spark, 4)
+
+
+@pytest.fixture
+def root(spark):
+    return shared_folder(spark, "order-state")
+
+
+def test_users_are_kept_in_one_row_each(spark, session, root):
+    at = "2024-01-02 00:00:00"
+    batches = [[order(1, 10, at), order(1, 10, at), order(2, 10, at), order(3, 11, at)], [order(1, 10, at), order(4, 12, at), order(5, 12, "2024-01-01 00:00:00")]]
+    for i, batch in enumerate(batches):
+        send(spark, f"{root}/t", "ods_order_info", batch, i * 100)
+        query = run(order_job(spark, session, root, by_day=False), f"{root}/c")
+    kept = [op["numRowsTotal"] for op in query.recentProgress[-1]["stateOperators"]]
+    assert kept == [3]  # users, and no second step with eight rows of each
+    got = sorted((r.batch_id, r.id, r.if_first_order) for r in read_log(spark, f"{root}/orders").collect())
+    assert got == [(0, 1, "1"), (0, 2, "0"), (0, 3, "1"), (1, 1, "0"), (1, 4, "0"), (1, 5, "1")]

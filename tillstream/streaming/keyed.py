@@ -6,7 +6,7 @@ single row; the other columns of a row travel as one JSON text, so that nulls an
 ``Lifetime`` says when a key is forgotten: never, some time after its last write by the processing time (for queries that run on),
 or by event time, some time after the latest event written, once the watermark has passed that (also for queries that end). Every write renews it.
 All rows of a key meet in one task: where one order or user may hold a large share of the rows, ``wide.with_open_sums`` and
-``orders.with_newcomers`` spread them instead.
+``orders.with_order_counts`` spread them instead.
 """
 
 from __future__ import annotations
