@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from test_streams import order, order_job
 
 from helpers import run, send
+from tillstream.schemas import ORDER_WIDE
 from tillstream.sources.tables import read_log
+from tillstream.streaming import jobs
 from tillstream.streaming.runtime import shared_folder, stream_session
 
 
@@ -30,3 +33,22 @@ def test_users_are_kept_in_one_row_each(spark, session, root):
     assert kept == [3]  # users, and no second step with eight rows of each
     got = sorted((r.batch_id, r.id, r.if_first_order) for r in read_log(spark, f"{root}/orders").collect())
     assert got == [(0, 1, "1"), (0, 2, "0"), (0, 3, "1"), (1, 1, "0"), (1, 4, "0"), (1, 5, "1")]
+
+
+def test_sums_of_open_orders_only_are_carried(spark, session, root):
+    """The wide job keeps an order's sums in a table until it is complete, and no state for good."""
+    rows_ = spark.createDataFrame([(1, 11, 1, 3, 100), (2, 21, 9, 9, 4), (1, 12, 1, 3, 100), (1, 13, 1, 3, 100)],
+                                  "order_id long, order_detail_id long, amount_c long, original_total_c long, final_total_c long")
+    rows_ = rows_.withColumn("order_time", F.to_timestamp(F.lit("2024-01-01")))
+    texts = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in ORDER_WIDE.fields}
+    inside = {"benefit_reduce_c": 0, "feight_fee_c": 0, "sku_price_c": 0}
+    rows_ = rows_.select("*", *[c for n, c in texts.items() if n not in rows_.columns and "amount" not in n], *[F.lit(v).cast("long").alias(n) for n, v in inside.items()])
+    for part in ("order_detail_id < 12 or order_id = 2", "order_detail_id in (12, 13)"):
+        rows_.where(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = session.readStream.schema(rows_.schema).parquet(f"{root}/in")
+        query = run(jobs.order_wide(stream, f"{root}/wide", jobs.to_files(f"{root}/t"), by_day=False), f"{root}/c")
+        assert not any(p["stateOperators"] for p in query.recentProgress)
+    got = sorted((r.order_detail_id, r.final_detail_amount) for r in read_log(spark, f"{root}/wide").collect())
+    assert got == [(11, 0.33), (12, 0.33), (13, 0.34), (21, 0.04)]
+    carried = spark.read.parquet(f"{root}/wide_open/batch_id=1")
+    assert [r.order_id for r in carried.collect()] == [1]  # order 2 was complete
