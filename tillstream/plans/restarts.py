@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions.money import from_cents, to_cents
-from tillstream.operators import lookups, orders, wide
+from tillstream.operators import lookups, orders
 from tillstream.plans import flows
 from tillstream.plans.catalog import query
+from tillstream.plans.parts import parts_of
 from tillstream.schemas import DAU_INFO, DWS_ORDER_WIDE, ODS_PREFIX, STARTUP_LOG
 from tillstream.sources import shop
 from tillstream.sources.records import json_field
@@ -133,13 +134,15 @@ def first_order_flag_keyed(spark, sf_dir):
 def paid_allocation_keyed(spark, sf_dir):
     """Every line's share from state per order: the lines of an order come in up to five micro-batches."""
     session, root = stream_session(spark), shared_folder(spark, "open-orders")
-    heads = wide.order_side(orders.with_date_parts(shop.orders(spark, sf_dir))).dropDuplicates(["order_id"])
-    pairs = wide.line_side(shop.order_lines(spark, sf_dir)).join(heads, "order_id").dropDuplicates(wide.PAIR)
-    part = _parts(pairs, F.pmod("order_detail_id", F.lit(PARTS)).cast("int"), root, "pairs")
-    append(_as_values(part(0)), f"{root}/topics", "pairs")
-    job = jobs.allocated_lines(open_topic(session, f"{root}/topics", "pairs", "earliest"), pairs.schema, f"{root}/allocated")
-    later = [lambda k=k: append(_as_values(part(k)), f"{root}/topics", "pairs") for k in range(1, PARTS)]
-    _feed(job, root, "allocated_lines", [lambda: None, *later])
+    part = parts_of(spark, flows.pair_slices(spark, sf_dir), F.pmod("order_detail_id", F.lit(PARTS)), f"{root}/parts/pairs")
+
+    def arrive(k):
+        append(_as_values(part.read(k)), f"{root}/topics", "pairs")
+        part.drop(k)
+
+    arrive(0)
+    job = jobs.allocated_lines(open_topic(session, f"{root}/topics", "pairs", "earliest"), part.layout, f"{root}/allocated")
+    _feed(job, root, "allocated_lines", [lambda: None, *[lambda k=k: arrive(k) for k in range(1, PARTS)]])
     return read_log(spark, f"{root}/allocated").select(
         "order_id", "order_detail_id", "sku_id", "sku_num", "order_status", "create_time", "amount_c",
         from_cents(F.col("final_detail_c")).alias("final_detail_amount"),
